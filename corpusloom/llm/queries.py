@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import neardup, tokens, topn
+from corpusloom.llm import leaks, neardup, tokens, topn
 from corpusloom.session import table
 
 # Unicode white space, so that blanks of every kind around a slug fall.
@@ -43,7 +43,17 @@ def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, sf, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found, "p5_classes": p5_classes, "p6_found": p6_found, "p7_ids": p7_ids}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that share 12 consecutive words with an evaluation item."""
+    return leaks.find_leaks(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "eval_items"), "item_id", "text")
+
+
+def p8_items(spark: SparkSession, sf: str) -> DataFrame:
+    """How many documents each leaked item stands in."""
+    return p8_found(spark, sf).groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found, "p5_classes": p5_classes, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_items": p8_items}
 SQL: dict[str, str] = {
     "p6_found": """
 with best as (
