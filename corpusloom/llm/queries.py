@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import leaks, neardup, tokens, topn
+from corpusloom.llm import leaks, mojibake, neardup, tokens, topn
 from corpusloom.session import table
 
 # Unicode white space, so that blanks of every kind around a slug fall.
@@ -53,7 +53,19 @@ def p8_items(spark: SparkSession, sf: str) -> DataFrame:
     return p8_found(spark, sf).groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found, "p5_classes": p5_classes, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_items": p8_items}
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents decoded with a wrong encoding, with the MD5 of the restored text ('' if lost)."""
+    got = mojibake.restore(table(spark, sf, "documents"), "doc_id", "text")
+    return got.select("doc_id", F.when(F.col("lost"), "").otherwise(F.md5("restored")).alias("restored_md5"))
+
+
+def p9_chains(spark: SparkSession, sf: str) -> DataFrame:
+    """The encoding chains that the corpus proves, with the number of words under each."""
+    subs = mojibake.substitutions(table(spark, sf, "documents"), "text")
+    return subs.groupBy("chain").agg(F.count(F.lit(1)).alias("n_words"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found, "p5_classes": p5_classes, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_chains": p9_chains}
 SQL: dict[str, str] = {
     "p6_found": """
 with best as (
