@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import leaks, mojibake, neardup, tokens, topn
+from corpusloom.llm import leaks, mojibake, neardup, neighbours, tokens, topn
 from corpusloom.session import table
 
 # Unicode white space, so that blanks of every kind around a slug fall.
 _BLANK = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of post vectors of which one is among the 5 nearest of the other."""
+    got = neighbours.nearest(table(spark, sf, "post_vectors"), "vec_id", "embedding", 128, k=5, least=0.8)
+    return got.select(F.least("id", "neighbour").alias("vec_a"), F.greatest("id", "neighbour").alias("vec_b")).distinct()
+
+
 def _near(spark: SparkSession, sf: str) -> neardup.NearDuplicates:
     posts = table(spark, sf, "posts").select(F.lit("posts").alias("scope"), "id", "text")
     speeches = table(spark, sf, "speeches").select(F.lit("speeches").alias("scope"), "id", "text")
@@ -65,7 +71,7 @@ def p9_chains(spark: SparkSession, sf: str) -> DataFrame:
     return subs.groupBy("chain").agg(F.count(F.lit(1)).alias("n_words"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found, "p5_classes": p5_classes, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_chains": p9_chains}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p5_found": p5_found, "p5_classes": p5_classes, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_chains": p9_chains}
 SQL: dict[str, str] = {
     "p6_found": """
 with best as (
