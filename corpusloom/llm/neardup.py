@@ -12,7 +12,8 @@ candidates found there are probed in the long ones.  Here, spread over executors
 3. The short lists are merged by a sort-merge join on the token.  Each posting carries the
    record's size, the token's position in its order and a 256-bit parity signature of its set; the
    join condition drops pairs that cannot reach T by size, by position, or because the signatures
-   differ in more bits than the sets may differ in tokens.  All three bounds are exact.
+   differ in more bits than the sets may differ in tokens.  Occurrences are counted per pair, and
+   a pair needs as many as the long lists cannot make up for.  All these bounds are exact.
 4. The remaining candidates are probed in their long lists: the tokens of the smaller record are
    looked up in the sorted tokens of the larger by binary search.  Pairs that reach T are kept.
 
@@ -33,7 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.session import materialise
@@ -42,44 +43,38 @@ _SIGNATURE = 4  # words of 64 bits
 
 
 class NearDuplicates(NamedTuple):
-    """``members``: (scope, key, cls); ``links``: (scope, cls_a, cls_b, shared, size_a, size_b) of different classes."""
+    """``members``: (scope, key, cls); ``links``: (cls_a, cls_b, shared, size_a, size_b) of different classes."""
 
     members: DataFrame
     links: DataFrame
 
 
-def word_ngrams(text: Column, n: int) -> tuple[Column, Column]:
-    """(number of words, distinct hashes of the runs of ``n`` words), both evaluated in the JVM."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return words, F.size(words)
-
-
 def _sets(df: DataFrame, scope: Column, key: Column, text: Column, shingle: int, min_words: int) -> DataFrame:
-    """(scope, key, cls, tokens): the sorted token set of each row."""
-    words, _ = word_ngrams(text, shingle)
+    """(scope, key, cls, tokens): the sorted token set of each row, hashed with its scope in the JVM."""
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     base = df.select(scope.alias("scope"), key.cast("string").alias("key"), words.alias("w")).filter(F.col("key").isNotNull() & (F.size("w") >= max(min_words, shingle)))
-    grams = F.col("w")
     if shingle == 2:
-        grams = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.xxhash64(a, b))
+        grams = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.xxhash64("scope", a, b))
     else:
-        grams = F.transform(F.sequence(F.lit(1), F.size("w") - shingle + 1), lambda i: F.xxhash64(F.slice("w", i, shingle)))
-    tokens = F.array_sort(F.array_distinct(grams))
-    out = base.select("scope", "key", tokens.alias("tokens"))
-    return out.withColumn("cls", F.xxhash64("scope", "tokens"))
+        grams = F.transform(F.sequence(F.lit(1), F.size("w") - (shingle - 1)), lambda i: F.xxhash64("scope", F.slice("w", i, F.lit(shingle))))
+    out = base.select("scope", "key", F.array_sort(F.array_distinct(grams)).alias("tokens"))
+    return out.withColumn("cls", F.xxhash64("tokens"))
 
 
 def _sketch(classes: DataFrame, bits: int) -> np.ndarray:
-    """Document frequencies by token hash, in ``2**bits`` counters (log scale, one byte each)."""
+    """Document frequencies by token hash, in ``2**bits`` counters (log scale, one byte each; 0: none,
+    1: exactly one)."""
     bucket = F.col("token").bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
-    counts = classes.select(F.explode("tokens").alias("token")).groupBy(bucket.alias("b")).agg(F.least(F.lit(255), F.round(F.log2(F.count(F.lit(1))) * 8)).cast("short").alias("c"))
-    table = counts.toArrow()
+    scale = F.least(F.lit(255), F.round(F.log2(F.count(F.lit(1))) * 8) + 1).cast("short")
+    table = classes.select(F.explode("tokens").alias("token")).groupBy(bucket.alias("b")).agg(scale.alias("c")).toArrow()
     out = np.zeros(1 << bits, np.uint8)
     out[table.column("b").to_numpy()] = table.column("c").to_numpy()
     return out
 
 
 def _postings(classes: DataFrame, sketch: np.ndarray, bits: int, t: float) -> DataFrame:
-    """(token, scope, cls, n, pos, s0..s3) for the short lists of each class."""
+    """(token, cls, at, s0..s3) for the short lists of each class; ``at`` packs the size of the set
+    and the token's position.  Tokens that stand in one class only meet nothing and are left out."""
     shared = classes.sparkSession.sparkContext.broadcast(sketch)
     mask = (1 << bits) - 1
     sig = [f"s{i}" for i in range(_SIGNATURE)]
@@ -87,8 +82,8 @@ def _postings(classes: DataFrame, sketch: np.ndarray, bits: int, t: float) -> Da
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency = shared.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for first in range(0, whole.num_rows, 1000):
+                batch = whole.slice(first, 1000)
                 lists = batch.column("tokens")
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -97,21 +92,19 @@ def _postings(classes: DataFrame, sketch: np.ndarray, bits: int, t: float) -> Da
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
                 # Parity of the tokens that fall on each of 256 bits.
-                bit = (flat.view(np.uint64) >> np.uint64(40)).astype(np.int64) & (64 * _SIGNATURE - 1)
-                parity = np.bincount(row * (64 * _SIGNATURE) + bit, minlength=len(sizes) * 64 * _SIGNATURE).reshape(len(sizes), 64 * _SIGNATURE) & 1
+                width = 64 * _SIGNATURE
+                bit = (flat.view(np.uint64) >> np.uint64(40)).astype(np.int64) & (width - 1)
+                parity = np.bincount(row * width + bit, minlength=len(sizes) * width).reshape(len(sizes), width) & 1
                 words = np.packbits(parity.astype(np.uint8), axis=1).view(np.int64).reshape(len(sizes), _SIGNATURE)
-                order = np.lexsort((flat, frequency[flat & mask], row))
+                df = frequency[flat & mask]
+                order = np.lexsort((flat, df, row))
                 pos = np.arange(len(flat)) - np.repeat(starts, sizes)
                 need = np.ceil(t * sizes - 1e-9).astype(np.int64)
-                short = pos < np.repeat(sizes - need + 1, sizes)
+                short = (pos < np.repeat(sizes - need + 1, sizes)) & (df[order] > 1)
                 row, pos, token = row[short], pos[short], flat[order][short]
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(token), batch.column("scope").take(take), batch.column("cls").take(take), pa.array(sizes[row].astype(np.int32)), pa.array(pos.astype(np.int32)), *(pa.array(words[row, i]) for i in range(_SIGNATURE))],
-                    ["token", "scope", "cls", "n", "pos", *sig],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(token), batch.column("cls").take(pa.array(row)), pa.array((sizes[row] << 32) | pos), *(pa.array(words[row, i]) for i in range(_SIGNATURE))], ["token", "cls", "at", *sig])
 
-    return classes.select("scope", "cls", "tokens").mapInArrow(emit, "token long, scope string, cls long, n int, pos int, " + ", ".join(f"{s} long" for s in sig))
+    return classes.select("cls", "tokens").mapInArrow(emit, "token long, cls long, at long, " + ", ".join(f"{s} long" for s in sig))
 
 
 def _probe(pairs: DataFrame, t: float) -> DataFrame:
@@ -130,35 +123,43 @@ def _probe(pairs: DataFrame, t: float) -> DataFrame:
                 shared[i] = np.count_nonzero(y[at] == x)
             na, nb = a.value_lengths().to_numpy(zero_copy_only=False), b.value_lengths().to_numpy(zero_copy_only=False)
             ok = shared + 1e-9 >= t * (na.astype(np.int64) + nb - shared)
-            out = pa.RecordBatch.from_arrays([batch.column("scope"), batch.column("cls_a"), batch.column("cls_b"), pa.array(shared), pa.array(na, pa.int32()), pa.array(nb, pa.int32())], ["scope", "cls_a", "cls_b", "shared", "size_a", "size_b"])
+            out = pa.RecordBatch.from_arrays([batch.column("cls_a"), batch.column("cls_b"), pa.array(shared), pa.array(na, pa.int32()), pa.array(nb, pa.int32())], ["cls_a", "cls_b", "shared", "size_a", "size_b"])
             yield out.filter(pa.array(ok))
 
-    return pairs.mapInArrow(check, "scope string, cls_a long, cls_b long, shared int, size_a int, size_b int")
+    return pairs.mapInArrow(check, "cls_a long, cls_b long, shared int, size_a int, size_b int")
 
 
-def find(df: DataFrame, scope: Column, key: Column, text: Column, t: float = 0.8, shingle: int = 5, min_words: int = 1, sketch_bits: int = 20) -> NearDuplicates:
+def find(df: DataFrame, scope: Column, key: Column, text: Column, t: float = 0.8, shingle: int = 5, min_words: int = 1, sketch_bits: int = 22) -> NearDuplicates:
     """Classes of equal token sets and the links between classes with similarity ``t`` or more."""
     if not 0 < t <= 1:
         raise ValueError("t must be in (0, 1]")
-    sets = materialise(_sets(df, scope, key, text, shingle, min_words))
-    members = sets.select("scope", "key", "cls").distinct()
+    sets = _sets(df, scope, key, text, shingle, min_words)
+    members = materialise(sets.select("scope", "key", "cls").distinct())
     # One record per class: equal sets are equal arrays, so any will do.
-    classes = materialise(sets.select("scope", "cls", "tokens").dropDuplicates(["scope", "cls"]))
-    sketch = _sketch(classes, sketch_bits)
-    p = _postings(classes, sketch, sketch_bits, t)
-    a = p.select("token", "scope", *[F.col(c).alias(f"a_{c}") for c in ("cls", "n", "pos", *(f"s{i}" for i in range(_SIGNATURE)))])
-    b = p.select("token", "scope", *[F.col(c).alias(f"b_{c}") for c in ("cls", "n", "pos", *(f"s{i}" for i in range(_SIGNATURE)))])
-    sizes = F.col("a_n") + F.col("b_n")
-    need = F.ceil(sizes * (t / (1 + t)) - F.lit(1e-9))
+    classes = materialise(sets.select("cls", "tokens").dropDuplicates(["cls"]))
+    p = _postings(classes, _sketch(classes, sketch_bits), sketch_bits, t)
+    columns = ["cls", "at", *(f"s{i}" for i in range(_SIGNATURE))]
+    a = p.select("token", *[F.col(c).alias(f"a_{c}") for c in columns])
+    b = p.select("token", *[F.col(c).alias(f"b_{c}") for c in columns])
+    size = lambda x: F.shiftright(f"{x}_at", 32)
+    pos = lambda x: F.col(f"{x}_at").bitwiseAND(F.lit((1 << 32) - 1))
+    na, nb = size("a"), size("b")
+    need = F.ceil((na + nb) * (t / (1 + t)) - F.lit(1e-9))
     differ = sum((F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(1, _SIGNATURE)), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
-    reach = F.least("a_pos", "b_pos") + F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
+    reach = F.least(pos("a"), pos("b")) + F.least(na - pos("a"), nb - pos("b"))
     # The order of a pair is by (size, class), so that each pair comes from one side only.
-    ordered = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_cls") < F.col("b_cls")))
-    can = ordered & (F.col("a_n") >= F.col("b_n") * F.lit(t) - F.lit(1e-9)) & (differ <= sizes - 2 * need) & (reach >= need)
-    candidates = a.join(b, ["token", "scope"]).filter(can).select("scope", F.col("a_cls").alias("cls_a"), F.col("b_cls").alias("cls_b")).distinct()
-    ta = classes.select("scope", F.col("cls").alias("cls_a"), F.col("tokens").alias("ta"))
-    tb = classes.select("scope", F.col("cls").alias("cls_b"), F.col("tokens").alias("tb"))
-    links = _probe(candidates.join(ta, ["scope", "cls_a"]).join(tb, ["scope", "cls_b"]), t)
+    ordered = (na < nb) | ((na == nb) & (F.col("a_cls") < F.col("b_cls")))
+    can = ordered & (na >= nb * F.lit(t) - F.lit(1e-9)) & (differ <= na + nb - 2 * need) & (reach >= need)
+    # Of the need shared tokens at most T - 1 of the larger set (the more of the two) can stand in long lists.
+    hits = need - F.ceil(nb * F.lit(t) - F.lit(1e-9)) + 1
+    merged = a.join(b, "token").filter(can).groupBy(F.col("a_cls").alias("cls_a"), F.col("b_cls").alias("cls_b")).agg(F.count(F.lit(1)).alias("c"), F.first(hits).alias("hits"))
+    candidates = materialise(merged.filter("c >= hits").select("cls_a", "cls_b"))
+    # The token sets of the candidates only.
+    ends = candidates.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct()
+    needed = materialise(classes.join(ends, "cls", "left_semi"))
+    ta = needed.select(F.col("cls").alias("cls_a"), F.col("tokens").alias("ta"))
+    tb = needed.select(F.col("cls").alias("cls_b"), F.col("tokens").alias("tb"))
+    links = materialise(_probe(candidates.join(ta, "cls_a").join(tb, "cls_b"), t))
     return NearDuplicates(members, links)
 
 
@@ -169,28 +170,27 @@ def pairs(found: NearDuplicates, expand: int = 1000) -> DataFrame:
     ``expand`` keys.  Of a larger class the ``expand`` smallest keys are; each further key
     is linked to the smallest, which keeps all copies together without all their pairs.
     """
-    from pyspark.sql import Window
-
     m = found.members
-    big = m.groupBy("scope", "cls").agg(F.count(F.lit(1)).alias("k"), F.min("key").alias("first")).filter(F.col("k") > expand)
-    # Ranks are needed in larger classes only; these are few, whatever their size.
-    large = m.join(big.select("scope", "cls"), ["scope", "cls"], "left_semi")
-    head = large.withColumn("r", F.row_number().over(Window.partitionBy("scope", "cls").orderBy("key"))).filter(F.col("r") <= expand).drop("r")
-    use = m.join(big.select("scope", "cls"), ["scope", "cls"], "left_anti").unionByName(head)
+    big = m.groupBy("cls").agg(F.count(F.lit(1)).alias("k"), F.min("key").alias("first")).filter(F.col("k") > expand)
+    # Ranks are needed in larger classes only.
+    large = m.join(big.select("cls"), "cls", "left_semi")
+    head = large.withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("key"))).filter(F.col("r") <= expand).drop("r")
+    use = m.join(big.select("cls"), "cls", "left_anti").unionByName(head)
+    # Members of a class pair up within it through a link of the class with itself.
+    links = found.links.select("cls_a", "cls_b").unionByName(m.groupBy("cls").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select(F.col("cls").alias("cls_a"), F.col("cls").alias("cls_b")))
     left = use.select("scope", F.col("cls").alias("cls_a"), F.col("key").alias("ka"))
-    right = use.select("scope", F.col("cls").alias("cls_b"), F.col("key").alias("kb"))
-    between = found.links.select("scope", "cls_a", "cls_b").join(left, ["scope", "cls_a"]).join(right, ["scope", "cls_b"]).filter("ka <> kb")
-    within = left.join(right.withColumnRenamed("cls_b", "cls_a"), ["scope", "cls_a"]).filter("ka < kb")
-    star = large.join(big, ["scope", "cls"]).filter("key <> first").select("scope", F.col("first").alias("ka"), F.col("key").alias("kb"))
-    both = between.select("scope", "ka", "kb").unionByName(within.select("scope", "ka", "kb")).unionByName(star)
+    right = use.select(F.col("cls").alias("cls_b"), F.col("key").alias("kb"))
+    between = links.join(left, "cls_a").join(right, "cls_b").filter("ka <> kb")
+    star = large.join(big, "cls").filter("key <> first").select("scope", F.col("first").alias("ka"), F.col("key").alias("kb"))
+    both = between.select("scope", "ka", "kb").unionByName(star)
     return both.select("scope", F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b")).distinct()
 
 
 def classes(found: NearDuplicates) -> DataFrame:
     """(scope, key, cls, n_links): one row per record with its class of equal sets and the number
     of other classes that are near it."""
-    ends = found.links.select("scope", F.explode(F.array("cls_a", "cls_b")).alias("cls")).groupBy("scope", "cls").agg(F.count(F.lit(1)).alias("n_links"))
-    return found.members.join(ends, ["scope", "cls"], "left").select("scope", "key", "cls", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    ends = found.links.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
+    return found.members.join(ends, "cls", "left").select("scope", "key", "cls", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def least_shared(n: int, t: float) -> int:
