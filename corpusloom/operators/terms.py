@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as T
 
 
-def tfidf(df: DataFrame, doc: str, text: str, order: str, stop: list[str] = (), least_rows: int = 1, max_share: float = 0.85, min_df: int = 2, max_terms: int = 80_000, top: int = 15) -> DataFrame:
+def tfidf(df: DataFrame, doc: str, text: str, order: str, stop: list[str] = (), least_rows: int = 1, max_share: float = 0.85, min_df: int = 2, max_terms: int = 80_000, top: int = 15, word: str = r"\b([A-Za-z][A-Za-z']{2,})\b") -> DataFrame:
     """(doc, term, n, score, rank): the ``top`` terms of each document by smoothed, sublinear TF-IDF.
 
     A document is all rows of a ``doc`` value in ``order``; bigrams run across rows.  Only the
@@ -17,17 +17,17 @@ def tfidf(df: DataFrame, doc: str, text: str, order: str, stop: list[str] = (),
     them, and of these the ``max_terms`` most frequent.  Weights are (1 + ln tf) (ln((1 + N) / (1 + df)) + 1),
     scaled to length 1 per document; ties go to the smaller term.
     """
-    words = F.filter(F.transform(F.regexp_extract_all(T.without_urls(F.col(text)), F.lit(r"\b([A-Za-z][A-Za-z']{2,})\b"), F.lit(1)), F.lower), lambda w: ~w.isin(list(stop)) if stop else F.lit(True))
+    words = F.filter(F.transform(F.regexp_extract_all(T.without_urls(F.col(text)), F.lit(word), F.lit(1)), F.lower), lambda w: ~w.isin(list(stop)) if stop else F.lit(True))
     sized = df.groupBy(F.col(doc).alias("doc")).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= least_rows).select("doc")
     rows = df.select(F.col(doc).alias("doc"), F.col(order).alias("o"), words.alias("w")).join(sized, "doc", "left_semi").filter(F.size("w") > 0)
     before = F.lag(F.element_at("w", -1)).over(Window.partitionBy("doc").orderBy("o"))
     rows = rows.withColumn("b", before).withColumn("x", F.when(F.col("b").isNull(), F.col("w")).otherwise(F.concat(F.array("b"), F.col("w"))))
     terms = rows.select("doc", F.explode(F.concat("w", T.bigrams(F.col("x")))).alias("term"))
     tf = terms.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("n"))
-    total = tf.agg(F.countDistinct("doc").alias("N"))
-    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("cf")).join(total).filter((F.col("df") >= min_df) & (F.col("df") <= F.col("N") * max_share))
+    total = tf.agg(F.countDistinct("doc").alias("n_doc"))
+    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("cf")).join(total).filter((F.col("df") >= min_df) & (F.col("df") <= F.col("n_doc") * max_share))
     vocabulary = df_.orderBy(F.desc("cf"), "term").limit(max_terms)
-    weight = (1 + F.log(F.col("n").cast("double"))) * (F.log((1 + F.col("N")) / (1 + F.col("df"))) + 1)
+    weight = (1 + F.log(F.col("n").cast("double"))) * (F.log((1 + F.col("n_doc")) / (1 + F.col("df"))) + 1)
     w = tf.join(vocabulary, "term").withColumn("w", weight)
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc")))
     scored = w.withColumn("score", F.round(F.col("w") / length, 6))
@@ -43,5 +43,5 @@ def lexicon_score(text: Column, lexicon: dict[str, float], alpha: float = 15.0)
     found = F.regexp_extract_all(F.lower(text), F.lit("([a-z']+)"), F.lit(1))
     total = F.lit(0.0)
     for word, v in lexicon.items():
-        total = total + F.size(F.filter(found, lambda w, word=word: w == word)) * F.lit(float(v))
+        total = total + F.size(found) * F.lit(float(v)) - F.size(F.array_remove(found, word)) * F.lit(float(v))
     return total / F.sqrt(total * total + alpha)

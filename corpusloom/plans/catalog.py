@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import data_queries, expressions
+from corpusloom.plans import analytics, data_queries, expressions
 
-_MODULES = [data_queries, expressions]
+_MODULES = [data_queries, expressions, analytics]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
