@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.session import materialise
+from corpusloom.session import materialise, materialise_bucketed
 
 _SIGNATURE = 4  # words of 64 bits
 
@@ -53,10 +53,12 @@ def _sets(df: DataFrame, scope: Column, key: Column, text: Column, shingle: int,
     """(scope, key, cls, tokens): the sorted token set of each row, hashed with its scope in the JVM."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     base = df.select(scope.alias("scope"), key.cast("string").alias("key"), words.alias("w")).filter(F.col("key").isNotNull() & (F.size("w") >= max(min_words, shingle)))
+    # Filters may be evaluated after this, so it must hold for short texts too.
+    n = F.greatest(F.size("w") - (shingle - 1), F.lit(0))
     if shingle == 2:
-        grams = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.xxhash64("scope", a, b))
+        grams = F.zip_with(F.slice("w", F.lit(1), n), F.slice("w", F.lit(2), n), lambda a, b: F.xxhash64("scope", a, b))
     else:
-        grams = F.transform(F.sequence(F.lit(1), F.size("w") - (shingle - 1)), lambda i: F.xxhash64("scope", F.slice("w", i, F.lit(shingle))))
+        grams = F.transform(F.slice("w", F.lit(1), n), lambda w, i: F.xxhash64("scope", F.slice("w", i + 1, F.lit(shingle))))
     out = base.select("scope", "key", F.array_sort(F.array_distinct(grams)).alias("tokens"))
     return out.withColumn("cls", F.xxhash64("tokens"))
 
@@ -135,8 +137,9 @@ def find(df: DataFrame, scope: Column, key: Column, text: Column, t: float = 0.8
         raise ValueError("t must be in (0, 1]")
     sets = _sets(df, scope, key, text, shingle, min_words)
     members = materialise(sets.select("scope", "key", "cls").distinct())
-    # One record per class: equal sets are equal arrays, so any will do.
-    classes = materialise(sets.select("cls", "tokens").dropDuplicates(["cls"]))
+    # One record per class: equal sets are equal arrays, so any will do.  In buckets of the class,
+    # so that the token sets are shuffled once only.
+    classes = materialise_bucketed(sets.select("cls", "tokens").dropDuplicates(["cls"]), "cls")
     p = _postings(classes, _sketch(classes, sketch_bits), sketch_bits, t)
     columns = ["cls", "at", *(f"s{i}" for i in range(_SIGNATURE))]
     a = p.select("token", *[F.col(c).alias(f"a_{c}") for c in columns])
@@ -170,7 +173,10 @@ def pairs(found: NearDuplicates, expand: int = 1000) -> DataFrame:
     ``expand`` keys.  Of a larger class the ``expand`` smallest keys are; each further key
     is linked to the smallest, which keeps all copies together without all their pairs.
     """
-    m = found.members
+    # Only members of classes with links or several members take part.
+    several = found.members.groupBy("cls").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("cls")
+    ends = found.links.select(F.explode(F.array("cls_a", "cls_b")).alias("cls"))
+    m = materialise(found.members.join(ends.unionByName(several).distinct(), "cls", "left_semi"))
     big = m.groupBy("cls").agg(F.count(F.lit(1)).alias("k"), F.min("key").alias("first")).filter(F.col("k") > expand)
     # Ranks are needed in larger classes only.
     large = m.join(big.select("cls"), "cls", "left_semi")
