@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import analytics, data_queries, expressions
+from corpusloom.plans import analytics, data_queries, expressions, ingest
 
-_MODULES = [data_queries, expressions, analytics]
+_MODULES = [data_queries, expressions, analytics, ingest]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
