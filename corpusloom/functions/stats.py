@@ -18,6 +18,24 @@ def exclusive_decile(values: Column, k: int = 9) -> Column:
     return F.when(n >= 2, (F.get(x, j - 1) * (10 - d) + F.get(x, j) * d) / 10)
 
 
+def exclusive_decile_by(df: DataFrame, by: list[str], value: str, k: int = 9, name: str = "decile") -> DataFrame:
+    """(by, n, top, name): the exclusive k-th decile and the maximum of ``value`` per group.
+
+    Equal values are counted first (map-side combine), then the counts are run through in order
+    until the two order statistics, so no group is ever gathered as a list.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
+    n = counts.groupBy(*by).agg(F.sum("_c").alias("n"), F.max(value).alias("top"))
+    seen = F.sum("_c").over(Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    j = F.least(F.greatest(F.floor(F.lit(k) * (F.col("n") + 1) / 10), F.lit(1)), F.col("n") - 1)
+    r = counts.withColumn("_seen", seen).join(n, by).withColumn("_j", j)
+    low = F.min(F.when(F.col("_seen") >= F.col("_j"), F.col(value)))
+    high = F.min(F.when(F.col("_seen") >= F.col("_j") + 1, F.col(value)))
+    d = F.lit(k) * (F.col("n") + 1) - F.col("_j") * 10
+    g = r.groupBy(*by, "n", "top", "_j").agg(low.alias("_x"), high.alias("_y"))
+    return g.withColumn(name, F.when(F.col("n") >= 2, (F.col("_x") * (10 - d) + F.col("_y") * d) / 10)).select(*by, "n", "top", name)
+
+
 def zscore_within(df: DataFrame, value: str, by: list[str], name: str = "z") -> DataFrame:
     """Population z-score of ``value`` within groups; a deviation of 0 counts as 1."""
     w = Window.partitionBy(*by)

@@ -6,22 +6,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.operators.ordered import previous
 
 
 def tfidf(df: DataFrame, doc: str, text: str, order: str, stop: list[str] = (), least_rows: int = 1, max_share: float = 0.85, min_df: int = 2, max_terms: int = 80_000, top: int = 15, word: str = r"\b([A-Za-z][A-Za-z']{2,})\b") -> DataFrame:
     """(doc, term, n, score, rank): the ``top`` terms of each document by smoothed, sublinear TF-IDF.
 
     A document is all rows of a ``doc`` value in ``order``; bigrams run across rows.  Only the
-    last word of a row is carried to the next (a window over rows), so no document is ever
-    concatenated in memory.  Terms are kept if ``min_df`` documents and at most ``max_share`` of all have
+    last word of a row is carried to the next, so no document is ever gathered or concatenated.  Terms are kept if ``min_df`` documents and at most ``max_share`` of all have
     them, and of these the ``max_terms`` most frequent.  Weights are (1 + ln tf) (ln((1 + N) / (1 + df)) + 1),
     scaled to length 1 per document; ties go to the smaller term.
     """
     words = F.filter(F.transform(F.regexp_extract_all(T.without_urls(F.col(text)), F.lit(word), F.lit(1)), F.lower), lambda w: ~w.isin(list(stop)) if stop else F.lit(True))
     sized = df.groupBy(F.col(doc).alias("doc")).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= least_rows).select("doc")
     rows = df.select(F.col(doc).alias("doc"), F.col(order).alias("o"), words.alias("w")).join(sized, "doc", "left_semi").filter(F.size("w") > 0)
-    before = F.lag(F.element_at("w", -1)).over(Window.partitionBy("doc").orderBy("o"))
-    rows = rows.withColumn("b", before).withColumn("x", F.when(F.col("b").isNull(), F.col("w")).otherwise(F.concat(F.array("b"), F.col("w"))))
+    rows = previous(rows.withColumn("_e", F.element_at("w", -1)), "doc", "o", "_e", "b").drop("_e").withColumn("x", F.when(F.col("b").isNull(), F.col("w")).otherwise(F.concat(F.array("b"), F.col("w"))))
     terms = rows.select("doc", F.explode(F.concat("w", T.bigrams(F.col("x")))).alias("term"))
     tf = terms.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("n"))
     total = tf.agg(F.countDistinct("doc").alias("n_doc"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import stats, timeparts
 from corpusloom.functions import text as T
-from corpusloom.operators import rules, terms, upsert, vectors
+from corpusloom.operators import ordered, rules, terms, upsert, vectors
 from corpusloom.plans.registry import Registry
 from corpusloom.session import table
 
@@ -237,9 +237,11 @@ from p""")
 def a14_style_by_month(spark: SparkSession, sf: str) -> DataFrame:
     """Mean and exclusive 90 % quantile of two style indices; thin months dropped, small ones use the maximum."""
     d = _local_docs(spark, sf).filter(F.length("text") >= 10).select("month", T.caps_share(F.col("text")).alias("c"), T.exclamation_density(F.col("text")).alias("e"))
-    g = d.groupBy("month").agg(F.count("*").alias("n"), F.round(F.avg("c"), 4).alias("caps"), F.round(F.avg("e"), 4).alias("excl"), F.collect_list("c").alias("lc"), F.collect_list("e").alias("le")).filter("n >= 5")
-    p90 = lambda x: F.round(F.when(F.col("n") < 10, F.array_max(x)).otherwise(stats.exclusive_decile(F.col(x))), 4)
-    return g.select("month", "n", "caps", "excl", p90("lc").alias("caps_p90"), p90("le").alias("excl_p90"))
+    g = d.groupBy("month").agg(F.round(F.avg("c"), 4).alias("caps"), F.round(F.avg("e"), 4).alias("excl"))
+    for c, name in (("c", "caps_p90"), ("e", "excl_p90")):
+        q = stats.exclusive_decile_by(d, ["month"], c)
+        g = g.join(q.select("month", "n", F.round(F.when(F.col("n") < 10, F.col("top")).otherwise(F.col("decile")), 4).alias(name)), ["month"] if "n" not in g.columns else ["month", "n"])
+    return g.filter("n >= 5").select("month", "n", "caps", "excl", "caps_p90", "excl_p90")
 
 
 _LEXICON = {"great": 3.1, "honest": 2.3, "proud": 2.1, "friend": 2.2, "praise": 2.6, "hated": -3.2, "losing": -1.6, "failing": -2.3, "broken": -2.1, "crooked": -2.5, "disputed": -1.7, "beloved": 2.3}
@@ -410,19 +412,19 @@ def t05_spread_and_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("""select doc_id, row_number() over (order by published_at nulls last, doc_id) as pos from documents where kind = 'speech'""")
 def t06_nulls_last(spark: SparkSession, sf: str) -> DataFrame:
-    w = Window.partitionBy().orderBy(F.asc_nulls_last("published_at"), "doc_id")
-    return _docs(spark, sf).filter("kind = 'speech'").select("doc_id", F.row_number().over(w).alias("pos"))
+    d = _docs(spark, sf).filter("kind = 'speech'").select("doc_id", "published_at")
+    return ordered.global_rank(d, [F.asc_nulls_last("published_at"), F.col("doc_id")], "pos").select("doc_id", "pos")
 
 
 @R.add("""
 with k as (select count(*) as n, greatest(1, count(*) // 20) as cut from speeches where event_type is not null)
 select row_id, case when r <= cut then 'eval' else 'train' end as part from (select row_id, row_number() over (order by md5(row_id || ':7'), row_id) as r from speeches where event_type is not null), k""")
 def t08_hash_split(spark: SparkSession, sf: str) -> DataFrame:
-    """A twentieth for evaluation, by the order of a hash: the cut is an order statistic found by a top-k."""
+    """A twentieth for evaluation, the first ones in the order of a hash."""
     s = table(spark, sf, "speeches").filter("event_type is not null").select("row_id", F.md5(F.concat(F.col("row_id").cast("string"), F.lit(":7"))).alias("h"))
-    n = s.count()
-    held = s.orderBy("h", "row_id").limit(max(1, n // 20)).select("row_id").withColumn("e", F.lit(True))
-    return s.join(held, "row_id", "left").select("row_id", F.when(F.col("e"), "eval").otherwise("train").alias("part"))
+    cut = s.agg(F.greatest(F.lit(1), F.floor(F.count("*") / 20)).alias("cut"))
+    ranked = ordered.global_rank(s, [F.col("h"), F.col("row_id")]).join(cut)
+    return ranked.select("row_id", F.when(F.col("rank") <= F.col("cut"), "eval").otherwise("train").alias("part"))
 
 
 @R.add("""
