@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import analytics, data_queries, expressions, ingest
+from corpusloom.plans import analytics, data_queries, expressions, ingest, more
 
-_MODULES = [data_queries, expressions, analytics, ingest]
+_MODULES = [data_queries, expressions, analytics, ingest, more]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -116,3 +116,14 @@ def artifacts(spark: SparkSession, path: str) -> DataFrame:
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
+
+
+def class_items(df: DataFrame, html: str, item: str, fields: dict[str, str]) -> DataFrame:
+    """One row for each element of class ``item`` of a page, its parts located by their classes.
+
+    An item reaches to the next one; a part's text is that of the first element with its class.
+    """
+    blocks = F.slice(F.split(F.col(html), rf'<[a-z]+[^>]*class="{item}(?: [^"]*)?"[^>]*>'), F.lit(2), F.lit(1_000_000))
+    each = df.select("*", F.posexplode(blocks).alias("item_no", "_b"))
+    part = lambda c: T.strip_html(F.regexp_extract("_b", rf'(?is)(<([a-z]+)[^>]*class="{c}(?: [^"]*)?"[^>]*>.*?</\2>)', 1))
+    return each.select(*[c for c in df.columns if c != html], "item_no", *[part(c).alias(n) for n, c in fields.items()])
