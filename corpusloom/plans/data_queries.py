@@ -67,4 +67,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found, "p2_tables": p2_tables, "p3_found": p3_found, "p3_status": p3_status,
     "p4_found": p4_found, "p4_union_schema": p4_union_schema, "p4_unified_metrics": p4_unified_metrics,
 }
-SQL: dict[str, str] = {}
+_TREE = r"""
+with raw as (select row_id, 'raw_json' as field, raw_json as s from posts union all select row_id, 'metrics_json', metrics_json from posts union all select row_id, 'media_urls_json', media_urls_json from posts),
+v as (select row_id, field, case when json_type(s) = 'VARCHAR' then s->>'$' else s end as s from raw where s is not null and json_valid(s)),
+n as (select row_id, field, t.fullkey, t.path, t.type from (select * from v where json_valid(s)) ok, json_tree(ok.s) t),
+e as (select row_id, field, fullkey as child_path, coalesce(nullif(regexp_extract(path, '^(.*\])', 1), ''), '$') as parent_path from n where fullkey like '%]' and type <> 'NULL')"""
+SQL: dict[str, str] = {
+    "p2_found": _TREE + " select row_id, field, child_path, parent_path from e",
+    "p2_tables": _TREE
+    + r""" select field, regexp_replace(child_path, '\[\d+\]', '[*]', 'g') as table_path, count(*) as n_rows, count(distinct row_id) as n_records, max(regexp_extract(child_path, '\[(\d+)\]$', 1)::int) + 1 as longest from e group by 1, 2""",
+}
