@@ -17,6 +17,11 @@ def first_filled(*values: Column) -> Column:
     return F.coalesce(*[F.nullif(v, F.lit("")) for v in values])
 
 
+def strip(text: Column) -> Column:
+    """White space of all kinds off both ends (``trim`` takes blanks only)."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def collapse(text: Column) -> Column:
     """White space runs to one blank, ends trimmed."""
     return F.trim(F.regexp_replace(text, r"\s+", " "))

@@ -67,7 +67,7 @@ def delimited_speeches(df: DataFrame, text: str, marker: str = "SPEECH ") -> Dat
     """
     parts = F.split(F.col(text), rf"(?im)^\s*{marker}")
     each = df.select("*", F.posexplode(parts).alias("no", "_p")).filter("no > 0")
-    out = each.withColumn("title", F.trim(F.regexp_extract("_p", r"^([^\n]*)", 1))).withColumn("body", F.trim(F.regexp_replace("_p", r"^[^\n]*\n?", "")))
+    out = each.withColumn("title", T.strip(F.regexp_extract("_p", r"^([^\n]*)", 1))).withColumn("body", T.strip(F.regexp_replace("_p", r"^[^\n]*\n?", "")))
     return out.filter("body <> ''").drop("_p")
 
 
