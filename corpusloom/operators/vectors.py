@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -24,16 +30,37 @@ def centroids(df: DataFrame, label: str, vector: str, eps: float = 1e-9) -> Data
     return whole.select("label", F.transform("m", lambda x: x / (norm(F.col("m")) + eps)).alias("centroid"))
 
 
-def similarities(df: DataFrame, key: str, vector: str, labels: DataFrame, digits: int = 6) -> DataFrame:
-    """(key, label, score) of every vector against every label of a small catalog of centroids.
+def similarities(df: DataFrame, key: str, vector: str, labels: DataFrame, digits: int = 6, max_labels: int = 10_000) -> DataFrame:
+    """(key, label, score) of every vector against every label of a catalog of centroids.
 
-    The catalog (one row a label) is nested into one row and attached to each vector, so no
-    pair ever crosses a shuffle.
+    The catalog has one row a label; its size is checked before it is sent to the executors, where
+    each Arrow batch is scored by one matrix product.  Vectors that are null, of another length or all
+    zero score 0.
     """
-    catalog = labels.agg(F.collect_list(F.struct("label", "centroid")).alias("c"))
-    each = df.select(key, vector).join(catalog).select(key, vector, F.explode("c").alias("c"))
-    unit = norm(F.col(vector))
-    return each.select(key, F.col("c.label").alias("label"), F.round(F.when(unit > 0, dot(F.col(vector), F.col("c.centroid")) / unit).otherwise(0.0), digits).alias("score"))
+    catalog = labels.select("label", F.col("centroid").cast("array<double>").alias("centroid")).orderBy("label").limit(max_labels + 1).collect()
+    if len(catalog) > max_labels:
+        raise ValueError(f"more than {max_labels} labels")
+    key_type, label_type = (d.schema[c].dataType for d, c in ((df, key), (labels, "label")))
+    names = pa.array([r.label for r in catalog], to_arrow_type(label_type))
+    dim = len(catalog[0].centroid) if catalog else 0
+    shared = df.sparkSession.sparkContext.broadcast(np.array([r.centroid for r in catalog], float).reshape(len(catalog), dim))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = shared.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000) if len(c) else ():
+                batch = whole.slice(at, 2000)
+                n = batch.num_rows
+                lists = batch.column(vector)
+                good = pc.fill_null(pc.equal(pc.list_value_length(lists), dim), False).to_numpy(zero_copy_only=False)
+                x = np.zeros((n, dim))
+                x[good] = lists.filter(pa.array(good)).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, dim)
+                length = np.sqrt((x * x).sum(axis=1, keepdims=True))
+                s = np.round(x @ c.T / np.where(length > 0, length, 1.0), digits)
+                rows, cols = np.repeat(np.arange(n), len(c)), np.tile(np.arange(len(c)), n)
+                yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(rows)), names.take(pa.array(cols)), pa.array(s.ravel())], [key, "label", "score"])
+
+    return df.select(key, vector).mapInArrow(score, f"`{key}` {key_type.simpleString()}, label {label_type.simpleString()}, score double")
 
 
 def assign_labels(scores: DataFrame, key: str, top_k: int = 3, threshold: float = 0.25, forced: DataFrame | None = None, default: str = "general", guarantee: bool = False) -> DataFrame:
