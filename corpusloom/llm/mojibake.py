@@ -7,7 +7,8 @@
    read as a one-byte encoding, once or twice over, or its bytes in one one-byte encoding read as
    another.  A hash join of the corpus words with this table gives the verified originals.
 3. Chains that the join proves are also undone on words that the table lacks (names, compounds,
-   Japanese runs), where undoing them gives valid text of characters that clean words have.
+   Japanese runs, runs longer than ``MAX_WORD``), where undoing them gives valid text of characters that
+   clean words have.
 4. Documents are joined with the substitutions of their words and rewritten.  Swaps of
    one-byte encodings can turn a word into another real word, so they apply only in documents where
    several longer words prove the swap, and there to words without ASCII letters.
@@ -35,8 +36,12 @@ LOST = "�"
 READ_AS = ["cp1252", "latin-1", "cp437", "mac_roman", "cp1250", "cp1251", "cp1253", "cp1254", "cp850", "cp866", "koi8-r", "iso8859-2", "iso8859-5", "iso8859-7", "iso8859-15"]
 #: Swaps of one-byte encodings: the bytes of the first read as the second.
 SWAPS = [(a, b) for a in ("cp1251", "cp1250", "cp1253", "koi8-r", "iso8859-2", "iso8859-5", "iso8859-7") for b in ("cp1252", "latin-1")]
-#: A one-byte pattern of words with characters beyond ASCII.
-WORD = r"[A-Za-z\u0080-￿\x{10000}-\x{10ffff}]*[\u0080-￿\x{10000}-\x{10ffff}][A-Za-z\u0080-￿\x{10000}-\x{10ffff}]*"
+#: Characters of a word in the table of garbled forms; longer runs are undone without it.
+MAX_WORD = 64
+#: The pattern of words with characters beyond ASCII.
+_ANY = r"A-Za-z\u0080-\uffff\x{10000}-\x{10ffff}"
+#: Tried at starts of runs only and without backtracking, so that its time is linear in the text.
+WORD = rf"(?<![{_ANY}])[A-Za-z]*+[{_ANY[6:]}][{_ANY}]*+"
 
 
 @functools.lru_cache(maxsize=64)
@@ -159,7 +164,9 @@ def substitutions(df: DataFrame, text: str, min_support: int = 3) -> DataFrame:
                     g, w, c, n = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(g, pa.string()), pa.array(w, pa.string()), pa.array(c, pa.string()), pa.array(n, pa.int64())], ["word", "original", "chain", "support"])
 
-    table = clean.select("word", "n_docs").mapInArrow(generate, "word string, original string, chain string, support long")
+    # A word has about 250 garbled forms, so runs longer than any word (unspaced text) are left to step 3,
+    # which undoes chains at any length.
+    table = clean.filter(F.length("word") <= MAX_WORD).select("word", "n_docs").mapInArrow(generate, "word string, original string, chain string, support long")
     is_swap = F.col("chain").startswith("swap:")
     # Chains of UTF-8 can only hit suspect words, swaps only others.
     hit = table.join(words.select("word", "n_docs", "suspect"), "word").filter(F.col("suspect") != is_swap)
@@ -200,7 +207,7 @@ def restore(df: DataFrame, key: str, text: str, min_swaps: int = 3) -> DataFrame
     long_swap = F.col("swap") & (F.length("word") >= 4)
     per_text = pairs.groupBy("_row").agg(F.collect_list(F.struct("word", "original", "chain", "swap")).alias("subs"), F.count(F.when(~F.col("swap"), 1)).alias("k"), F.count(F.when(long_swap, 1)).alias("s"))
     damaged = texts.join(per_text.filter((F.col("k") > 0) | (F.col("s") >= min_swaps)), "_row")
-    pattern = WORD.replace("\\x{10000}-\\x{10ffff}", "\U00010000-\U0010ffff")
+    pattern = WORD.replace(r"\x{10000}-\x{10ffff}", "\U00010000-\U0010ffff")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern)

@@ -35,6 +35,14 @@ def test_empty(spark):
     assert run(spark, TRAPS) == {}
 
 
+def test_long_runs(spark):
+    """Unspaced text of any length: linear time, no dictionary entry."""
+    bad = mojibake.garble("日本é" * 20_000, "latin-1")
+    texts = CLEAN + [mojibake.garble(t, "latin-1") for t in CLEAN] + ["x" * 300_000 + " é", "日本é" * 20_000, bad]
+    got = run(spark, texts)
+    assert got[len(texts) - 1] == ("日本é" * 20_000, False) and len(texts) - 2 not in got and len(texts) - 3 not in got
+
+
 def test_forms_can_be_undone():
     for t in ("ñ", "Straße", "Эта", "日本", "…"):
         for form, chain in mojibake.forms(t).items():
