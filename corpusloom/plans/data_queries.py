@@ -72,7 +72,30 @@ with raw as (select row_id, 'raw_json' as field, raw_json as s from posts union
 v as (select row_id, field, case when json_type(s) = 'VARCHAR' then s->>'$' else s end as s from raw where s is not null and json_valid(s)),
 n as (select row_id, field, t.fullkey, t.path, t.type from (select * from v where json_valid(s)) ok, json_tree(ok.s) t),
 e as (select row_id, field, fullkey as child_path, coalesce(nullif(regexp_extract(path, '^(.*\])', 1), ''), '$') as parent_path from n where fullkey like '%]' and type <> 'NULL')"""
+_MEMBERS = r"""
+with raw as (select feed, file_no, id, 'raw_json' as field, raw_json as s from posts union all select feed, file_no, id, 'metrics_json', metrics_json from posts),
+v as (select * replace (case when json_type(s) = 'VARCHAR' then s->>'$' else s end as s) from raw where s is not null and json_valid(s)),
+leaf as (select feed, file_no, ok.id as id, field, substr(t.fullkey, 3) as path, t.type as kind, t.value as value from (select * from v where json_valid(s) and json_type(s) = 'OBJECT') ok, json_tree(ok.s) t
+  where t.type not in ('OBJECT', 'NULL') and not contains(t.fullkey, '[') and t.value::varchar <> '[]'),
+typed as (select feed, file_no, id, field, path, value::varchar as value, case when kind in ('UBIGINT', 'BIGINT', 'HUGEINT') then 'integer' when kind = 'DOUBLE' then 'decimal number' when kind = 'VARCHAR' then 'string' when kind = 'BOOLEAN' then 'boolean'
+  else (select case when bool_and(x = 'VARCHAR') then 'array of strings' when bool_and(x in ('UBIGINT', 'BIGINT', 'HUGEINT')) then 'array of integers' when bool_and(x = 'OBJECT') then 'array of objects' else 'array' end
+    from (select unnest(list_transform(json_extract(value, '$[*]'), lambda e: json_type(e))) as x) where x <> 'NULL') end as type from leaf),
+m as (select feed, file_no, field, path, case when count(distinct type) = 1 then min(type) when bool_and(type in ('integer', 'decimal number')) then 'decimal number' when bool_and(type like 'array%') then 'array' else 'string' end as type from typed group by all)"""
 SQL: dict[str, str] = {
+    "p4_union_schema": _MEMBERS + """ select field, path, case when count(distinct type) = 1 then min(type) when bool_and(type in ('integer', 'decimal number')) then 'decimal number' when bool_and(type like 'array%') then 'array' else 'string' end as type, count(*) as files from m group by 1, 2""",
+    "p4_found": _MEMBERS + r""",
+files as (select distinct feed, file_no from posts),
+pairs as (select a.feed, a.file_no from files a join files b on a.feed = b.feed and b.file_no = a.file_no - 1),
+o as (select m.feed, m.file_no + 1 as file_no, field, path, type from m join pairs p on p.feed = m.feed and p.file_no = m.file_no + 1), n as (select m.* from m join pairs p on p.feed = m.feed and p.file_no = m.file_no),
+gone as (select * from o anti join n using (feed, file_no, field, path)), new as (select * from n anti join o using (feed, file_no, field, path)),
+vals as (select feed, file_no, field, path, id, min(type || value) as lo, max(type || value) as hi from typed group by all),
+proof as (select g.feed, g.file_no, g.field, g.path as old_path, w.path as new_path, bool_and(x.lo = y.lo and x.hi = y.hi and x.lo = x.hi) as ok from gone g join new w on w.feed = g.feed and w.file_no = g.file_no and w.field = g.field and w.type = g.type
+  join vals x on x.feed = g.feed and x.file_no = g.file_no - 1 and x.field = g.field and x.path = g.path join vals y on y.feed = g.feed and y.file_no = g.file_no and y.field = g.field and y.path = w.path and y.id = x.id group by all),
+r as (select feed, file_no, field, old_path, new_path from proof where ok)
+select feed, file_no, field, old_path, new_path, 'renamed' as change from r
+union all select feed, file_no, field, path, '', 'removed' from gone g where not exists (select 1 from r where r.feed = g.feed and r.file_no = g.file_no and r.field = g.field and r.old_path = g.path)
+union all select feed, file_no, field, '', path, 'added' from new w where not exists (select 1 from r where r.feed = w.feed and r.file_no = w.file_no and r.field = w.field and r.new_path = w.path)
+union all select n.feed, n.file_no, n.field, n.path, n.path, 'retyped' from n join o using (feed, file_no, field, path) where n.type <> o.type""",
     "p2_found": _TREE + " select row_id, field, child_path, parent_path from e",
     "p2_tables": _TREE
     + r""" select field, regexp_replace(child_path, '\[\d+\]', '[*]', 'g') as table_path, count(*) as n_rows, count(distinct row_id) as n_records, max(regexp_extract(child_path, '\[(\d+)\]$', 1)::int) + 1 as longest from e group by 1, 2""",
