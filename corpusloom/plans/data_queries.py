@@ -82,6 +82,20 @@ typed as (select feed, file_no, id, field, path, value::varchar as value, case w
     from (select unnest(list_transform(json_extract(value, '$[*]'), lambda e: json_type(e))) as x) where x <> 'NULL') end as type from leaf),
 m as (select feed, file_no, field, path, case when count(distinct type) = 1 then min(type) when bool_and(type in ('integer', 'decimal number')) then 'decimal number' when bool_and(type like 'array%') then 'array' else 'string' end as type from typed group by all)"""
 SQL: dict[str, str] = {
+    "p3_found": r"""
+with raw as (select 'posts' as source_table, row_id, timestamp_utc as v, account_tz as home from posts union all select 'speeches', row_id, event_date, event_tz from speeches),
+t as (select source_table, row_id, coalesce(home, 'UTC') as home, replace(replace(regexp_replace(regexp_replace(v, '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g'), '^[A-Z][a-z]{2} ([A-Z][a-z]{2} \d\d \d\d:\d\d:\d\d) ([+-]\d{4}) (\d{4})$', '\1 \3 \2'), 'a.m.', 'AM'), 'p.m.', 'PM') as v from raw where v is not null),
+z as (select *, case when contains(v, ':') then regexp_extract(v, '(Z|GMT|UTC|EST|EDT|CST|CDT|MST|MDT|PST|PDT|CET|CEST|[+-]\d\d:?\d\d|[A-Z][a-z]+/[A-Za-z_]+)$') else '' end as zone from t),
+b as (select *, try_strptime(replace(trim(v[1:length(v) - length(zone)]), ',', '.'), ['%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S.%f', '%Y-%m-%d %H:%M:%S.%f', '%Y-%m-%dT%H:%M', '%Y-%m-%d', '%m/%d/%Y %I:%M %p', '%d.%m.%Y %H:%M',
+    '%a. %d %b %Y %H:%M:%S', '%b %d %H:%M:%S %Y', '%b %d. %Y · %I:%M %p', '%B %d. %Y %I:%M %p', '%B %d. %Y', '%d %b %Y']) as wall,
+  case when regexp_full_match(v, '\d{14}') then try_strptime(v, '%Y%m%d%H%M%S') end as compact from z),
+w as (select source_table, row_id, v, zone, coalesce(compact, case when not regexp_full_match(v, '\d+') then wall end) as ts, case when contains(zone, '/') then zone else home end as place,
+  case when zone in ('Z', 'GMT', 'UTC') then 0 when zone = 'EST' then -300 when zone = 'EDT' then -240 when zone = 'CST' then -360 when zone = 'CDT' then -300 when zone = 'MST' then -420 when zone = 'MDT' then -360 when zone = 'PST' then -480 when zone = 'PDT' then -420 when zone = 'CET' then 60 when zone = 'CEST' then 120
+    when zone[1] in ('+', '-') then (case zone[1] when '-' then -1 else 1 end) * (zone[2:3]::int * 60 + right(zone, 2)::int) end as fixed from b),
+c as (select *, epoch_us(ts) - (epoch_us(ts - interval 6 hours) - epoch_us(timezone(place, ts - interval 6 hours))) as u1, epoch_us(ts) - (epoch_us(ts + interval 6 hours) - epoch_us(timezone(place, ts + interval 6 hours))) as u2 from w),
+r as (select source_table, row_id, case when regexp_full_match(v, '\d{1,13}') and length(v) <> 4 then v::bigint * (case when length(v) <= 10 then 1000000 else 1000 end)
+  when fixed is not null then epoch_us(ts) - fixed::bigint * 60000000 when timezone(place, make_timestamptz(u1)) = ts or timezone(place, make_timestamptz(u2)) <> ts then u1 else u2 end as utc_us from c)
+select source_table, row_id, utc_us from r where utc_us is not null""",
     "p4_union_schema": _MEMBERS + """ select field, path, case when count(distinct type) = 1 then min(type) when bool_and(type in ('integer', 'decimal number')) then 'decimal number' when bool_and(type like 'array%') then 'array' else 'string' end as type, count(*) as files from m group by 1, 2""",
     "p4_found": _MEMBERS + r""",
 files as (select distinct feed, file_no from posts),
