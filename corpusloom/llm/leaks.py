@@ -40,10 +40,9 @@ def words_of(text: str | None) -> list[str]:
 class Index:
     """BM25 index of items with block maxima, scaled so that a leak scores 1 or more."""
 
-    def __init__(self, items: list[tuple[int, str]], run: int = 12, block: int = 16, k1: float = 1.2, b: float = 0.75):
+    def __init__(self, items: list[tuple[int, str]], run: int = 12, block: int = 4, k1: float = 1.2, b: float = 0.75):
         self.run = run
         bag = [(i, w) for i, w in ((i, words_of(t)) for i, t in items) if len(w) >= run]
-        # Similar items share a block: ordered by their rarest words, so that maxima stay low.
         self.vocabulary: dict[str, int] = {}
         for _, w in bag:
             for x in w:
