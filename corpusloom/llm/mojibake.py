@@ -139,7 +139,9 @@ def _word_counts(df: DataFrame, text: str) -> DataFrame:
 
 def substitutions(df: DataFrame, text: str, min_support: int = 3) -> DataFrame:
     """(word, original, chain, swap): what each garbled word of the corpus stands for."""
-    counts = materialise(_word_counts(df.filter(~F.contains(F.col(text), F.lit(LOST))), text))
+    # Few rows with much work each: spread over all cores whatever their size in bytes.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = materialise(_word_counts(df.filter(~F.contains(F.col(text), F.lit(LOST))), text)).repartition(parts, "word")
 
     def classify(known: frozenset[str] | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +168,7 @@ def substitutions(df: DataFrame, text: str, min_support: int = 3) -> DataFrame:
 
     # A word has about 250 garbled forms, so runs longer than any word (unspaced text) are left to step 3,
     # which undoes chains at any length.
-    table = clean.filter(F.length("word") <= MAX_WORD).select("word", "n_docs").mapInArrow(generate, "word string, original string, chain string, support long")
+    table = clean.filter(F.length("word") <= MAX_WORD).select("word", "n_docs").repartition(parts, "word").mapInArrow(generate, "word string, original string, chain string, support long")
     is_swap = F.col("chain").startswith("swap:")
     # Chains of UTF-8 can only hit suspect words, swaps only others.
     hit = table.join(words.select("word", "n_docs", "suspect"), "word").filter(F.col("suspect") != is_swap)
@@ -188,7 +190,7 @@ def substitutions(df: DataFrame, text: str, min_support: int = 3) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["word", "original", "chain", "swap"])
 
-    unknown = words.filter("suspect").select("word").join(proved.select("word"), "word", "left_anti")
+    unknown = words.filter("suspect").select("word").join(proved.select("word"), "word", "left_anti").repartition(parts, "word")
     return proved.unionByName(unknown.mapInArrow(rest, "word string, original string, chain string, swap boolean"))
 
 
