@@ -27,7 +27,11 @@ def csv_rows(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*out, F.coalesce(last, F.lit("")).alias(names[-1]))
 
 
-def json_records(spark: SparkSession, path: str, schema: str, wrappers: tuple[str, ...] = ("data", "truths", "posts", "records")) -> DataFrame:
+# The names under which documents wrap their list of records.
+WRAPPERS = ("data", "truths", "posts", "records")
+
+
+def json_records(spark: SparkSession, path: str, schema: str, wrappers: tuple[str, ...] = WRAPPERS) -> DataFrame:
     """Records of JSON documents that are a list or an object with a list under one of ``wrappers``.
 
     A document that has neither raises an error, as its records would be lost silently.
