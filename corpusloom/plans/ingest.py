@@ -64,7 +64,7 @@ def s06_html_articles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @R.add(r"""
-select row_id, 1 as no, coalesce(trim(regexp_replace(title, '[\r\n]', ' ', 'g'), ' '), '') as title, length(regexp_replace(text, '[ \t\r\n]', '', 'g')) as body_len from speeches where regexp_replace(text, '[ \t\r\n]', '', 'g') <> ''""")
+select row_id, 1::bigint as no, coalesce(trim(regexp_replace(title, '[\r\n]', ' ', 'g'), ' '), '') as title, length(regexp_replace(text, '[ \t\r\n]', '', 'g')) as body_len from speeches where regexp_replace(text, '[ \t\r\n]', '', 'g') <> ''""")
 def s07_delimited_text(spark: SparkSession, sf: str) -> DataFrame:
     """Delimited records: what stands before the first marker is dropped."""
     raw = F.concat(F.lit("preface\nSPEECH "), F.coalesce(F.regexp_replace("title", r"[\r\n]", " "), F.lit("")), F.lit("\n"), F.col("text"), F.lit("\nspeech empty\n\n"))
