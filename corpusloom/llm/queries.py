@@ -72,6 +72,12 @@ def p9_chains(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p5_found": p5_found, "p5_classes": p5_classes, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_chains": p9_chains}
+_P8 = r"""
+with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where text is not null),
+i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from eval_items where text is not null),
+dr as (select distinct doc_id, array_to_string(w[k:k + 11], ' ') as run from (select doc_id, w, unnest(generate_series(1, len(w) - 11)) as k from d where len(w) >= 12)),
+ir as (select distinct item_id, array_to_string(w[k:k + 11], ' ') as run from (select item_id, w, unnest(generate_series(1, len(w) - 11)) as k from i where len(w) >= 12))
+select distinct doc_id, item_id from dr join ir using (run)"""
 SQL: dict[str, str] = {
     "p1_found": """
 with v as (select vec_id, list_transform(embedding, lambda x: x::double) as e from post_vectors where embedding is not null and len(embedding) = 128),
@@ -86,12 +92,8 @@ g as (select distinct source_table, id, unnest(list_transform(w[:-2], lambda x,
 n as (select source_table, id, count(*) as n from g group by all),
 o as (select a.source_table, a.id as id_a, b.id as id_b, count(*) as o from g a join g b on a.source_table = b.source_table and a.g = b.g and a.id < b.id group by all)
 select o.source_table, id_a, id_b from o join n x on x.source_table = o.source_table and x.id = id_a join n y on y.source_table = o.source_table and y.id = id_b where o >= 0.6 * (x.n + y.n - o) - 1e-9""",
-    "p8_found": r"""
-with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where text is not null),
-i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from eval_items where text is not null),
-dr as (select distinct doc_id, array_to_string(w[k:k + 11], ' ') as run from (select doc_id, w, unnest(generate_series(1, len(w) - 11)) as k from d where len(w) >= 12)),
-ir as (select distinct item_id, array_to_string(w[k:k + 11], ' ') as run from (select item_id, w, unnest(generate_series(1, len(w) - 11)) as k from i where len(w) >= 12))
-select distinct doc_id, item_id from dr join ir using (run)""",
+    "p8_found": _P8,
+    "p8_items": f"select item_id, count(distinct doc_id) as n_docs from ({_P8}) group by 1",
     "p6_found": """
 with best as (
   select lower(trim(theme)) as theme, post_id, max(score) as score
