@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -25,7 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
+        folder = tempfile.mkdtemp(prefix="corpusloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        named = "file://" + folder
         spark.sparkContext.setCheckpointDir(named)
     return named
 
