@@ -43,23 +43,24 @@ _SIGNATURE = 4  # words of 64 bits
 
 
 class NearDuplicates(NamedTuple):
-    """``members``: (scope, key, cls); ``links``: (cls_a, cls_b, shared, size_a, size_b) of different classes."""
+    """``members``: (scope, key, cls, copy), ``copy`` being the hash of the text as it stands (of several
+    texts of a key in one class, one); ``links``: (cls_a, cls_b, shared, size_a, size_b) of different classes."""
 
     members: DataFrame
     links: DataFrame
 
 
 def _sets(df: DataFrame, scope: Column, key: Column, text: Column, shingle: int, min_words: int) -> DataFrame:
-    """(scope, key, cls, tokens): the sorted token set of each row, hashed with its scope in the JVM."""
+    """(scope, key, cls, copy, tokens): the sorted token set of each row, hashed with its scope in the JVM."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    base = df.select(scope.alias("scope"), key.cast("string").alias("key"), words.alias("w")).filter(F.col("key").isNotNull() & (F.size("w") >= max(min_words, shingle)))
+    base = df.select(scope.alias("scope"), key.cast("string").alias("key"), F.xxhash64(text).alias("copy"), words.alias("w")).filter(F.col("key").isNotNull() & (F.size("w") >= max(min_words, shingle)))
     # Filters may be evaluated after this, so it must hold for short texts too.
     n = F.greatest(F.size("w") - (shingle - 1), F.lit(0))
     if shingle == 2:
         grams = F.zip_with(F.slice("w", F.lit(1), n), F.slice("w", F.lit(2), n), lambda a, b: F.xxhash64("scope", a, b))
     else:
         grams = F.transform(F.slice("w", F.lit(1), n), lambda w, i: F.xxhash64("scope", F.slice("w", i + 1, F.lit(shingle))))
-    out = base.select("scope", "key", F.array_sort(F.array_distinct(grams)).alias("tokens"))
+    out = base.select("scope", "key", "copy", F.array_sort(F.array_distinct(grams)).alias("tokens"))
     return out.withColumn("cls", F.xxhash64("tokens"))
 
 
@@ -136,7 +137,7 @@ def find(df: DataFrame, scope: Column, key: Column, text: Column, t: float = 0.8
     if not 0 < t <= 1:
         raise ValueError("t must be in (0, 1]")
     sets = _sets(df, scope, key, text, shingle, min_words)
-    members = materialise(sets.select("scope", "key", "cls").distinct())
+    members = materialise(sets.groupBy("scope", "key", "cls").agg(F.min("copy").alias("copy")))
     # One record per class: equal sets are equal arrays, so any will do.  In buckets of the class,
     # so that the token sets are shuffled once only.
     classes = materialise_bucketed(sets.select("cls", "tokens").dropDuplicates(["cls"]), "cls")
@@ -166,29 +167,40 @@ def find(df: DataFrame, scope: Column, key: Column, text: Column, t: float = 0.8
     return NearDuplicates(members, links)
 
 
-def pairs(found: NearDuplicates, expand: int = 1000) -> DataFrame:
+def pairs(found: NearDuplicates, expand: int | None = None, chunk: int = 1000) -> DataFrame:
     """(scope, key_a, key_b), key_a < key_b, of all linked keys.
 
-    Members of linked classes and of one class are paired out in full as long as a class has up to
-    ``expand`` keys.  Of a larger class the ``expand`` smallest keys are; each further key
-    is linked to the smallest, which keeps all copies together without all their pairs.
+    Members of linked classes and of one class are paired out in full.  Where ``expand`` is given, of the
+    keys of one text, equal byte for byte, only the ``expand`` smallest are; each further key of that text
+    is linked to the smallest.  Texts that differ at all each keep their own keys.
+
+    Classes of more than ``chunk`` keys are paired in chunks, so that no task gets all pairs of a class.
     """
     # Only members of classes with links or several members take part.
     several = found.members.groupBy("cls").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("cls")
     ends = found.links.select(F.explode(F.array("cls_a", "cls_b")).alias("cls"))
-    m = materialise(found.members.join(ends.unionByName(several).distinct(), "cls", "left_semi"))
-    big = m.groupBy("cls").agg(F.count(F.lit(1)).alias("k"), F.min("key").alias("first")).filter(F.col("k") > expand)
-    # Ranks are needed in larger classes only.
-    large = m.join(big.select("cls"), "cls", "left_semi")
-    head = large.withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("key"))).filter(F.col("r") <= expand).drop("r")
-    use = m.join(big.select("cls"), "cls", "left_anti").unionByName(head)
+    m = use = materialise(found.members.join(ends.unionByName(several).distinct(), "cls", "left_semi"))
+    star = None
+    if expand is not None:
+        big = m.groupBy("cls", "copy").agg(F.count(F.lit(1)).alias("k"), F.min("key").alias("first")).filter(F.col("k") > expand)
+        # Ranks are needed of texts with many copies only.
+        large = m.join(big.select("cls", "copy"), ["cls", "copy"], "left_semi")
+        head = large.withColumn("r", F.row_number().over(Window.partitionBy("cls", "copy").orderBy("key"))).filter(F.col("r") <= expand).drop("r")
+        use = m.join(big.select("cls", "copy"), ["cls", "copy"], "left_anti").unionByName(head)
+        star = large.join(big, ["cls", "copy"]).filter("key <> first").select("scope", F.col("first").alias("ka"), F.col("key").alias("kb"))
+    counts = use.groupBy("cls").agg(F.count(F.lit(1)).alias("k"))
     # Members of a class pair up within it through a link of the class with itself.
-    links = found.links.select("cls_a", "cls_b").unionByName(m.groupBy("cls").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select(F.col("cls").alias("cls_a"), F.col("cls").alias("cls_b")))
+    links = found.links.select("cls_a", "cls_b").unionByName(counts.filter("k > 1").select(F.col("cls").alias("cls_a"), F.col("cls").alias("cls_b")))
+    # The keys of a class fall into chunks, of which each left key meets one a row.
+    chunks = counts.filter(F.col("k") > chunk).select("cls", F.ceil(F.col("k") / chunk).cast("int").alias("n"))
+    n = F.coalesce("n", F.lit(1))
+    links = links.join(chunks.withColumnRenamed("cls", "cls_b"), "cls_b", "left").select("cls_a", "cls_b", n.alias("n"))
     left = use.select("scope", F.col("cls").alias("cls_a"), F.col("key").alias("ka"))
-    right = use.select(F.col("cls").alias("cls_b"), F.col("key").alias("kb"))
-    between = links.join(left, "cls_a").join(right, "cls_b").filter("ka <> kb")
-    star = large.join(big, "cls").filter("key <> first").select("scope", F.col("first").alias("ka"), F.col("key").alias("kb"))
-    both = between.select("scope", "ka", "kb").unionByName(star)
+    right = use.join(chunks, "cls", "left").select(F.col("cls").alias("cls_b"), F.col("key").alias("kb"), F.pmod(F.xxhash64("key"), n).cast("int").alias("c"))
+    each = links.join(left, "cls_a").select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("c"))
+    # Within a class each pair comes once; a key may stand in both of two linked classes.
+    between = each.join(right, ["cls_b", "c"]).filter("ka < kb or (ka > kb and cls_a <> cls_b)").select("scope", "ka", "kb")
+    both = between if star is None else between.unionByName(star)
     return both.select("scope", F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b")).distinct()
 
 

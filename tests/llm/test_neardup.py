@@ -78,3 +78,19 @@ def test_large_class_of_copies(spark):
     assert len(linked) == 41 and len(some) < 100
     one = {r.key: (r.cls, r.n_links) for r in neardup.classes(found).collect()}
     assert len({c for c, _ in one.values()}) == 2 and all(n == 1 for _, n in one.values())
+
+
+def test_large_class_of_different_texts(spark):
+    """Texts of one class that differ in case, punctuation or repetition are no copies."""
+    text = "a b c d e f g h i j k l"
+    rows = [("s", f"{i:03d}", text + "!" * i) for i in range(20)] + [("s", f"{i:03d}", text.replace("a", "A", 1) + "." * i) for i in range(20, 40)] + [("s", "near", text + " m")]
+    for expand in (5, 1000):
+        assert run(spark, rows, 0.6, 2, 10, expand=expand)[0] == brute(rows, 0.6, 2, 10)
+
+
+def test_class_of_more_than_a_thousand_keys(spark):
+    text = "a b c d e f g h i j k l"
+    rows = [("s", f"{i:04d}", text + "!" * (i % 7)) for i in range(1020)] + [("s", f"x{i:04d}", text + " m") for i in range(3)]
+    df = spark.createDataFrame(rows, "scope string, id string, text string")
+    got = neardup.pairs(neardup.find(df, F.col("scope"), F.col("id"), F.col("text"), 0.6, 2, 10), chunk=100)
+    assert got.count() == 1023 * 1022 // 2 == got.distinct().count()
