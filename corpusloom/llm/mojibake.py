@@ -10,8 +10,11 @@
    Japanese runs, runs longer than ``MAX_WORD``), where undoing them gives valid text of characters that
    clean words have.
 4. Documents are joined with the substitutions of their words and rewritten.  Swaps of
-   one-byte encodings can turn a word into another real word, so they apply only in documents where
-   several longer words prove the swap, and there to words without ASCII letters.
+   one-byte encodings can turn a word into another real word.  Where several longer words prove the
+   swap, it is undone on the words whose originals the corpus has, on words without ASCII letters, and, if
+   the whole document can come from the swap, on all words.  Where fewer do, longer words
+   count whose originals stand in more texts of the corpus than they do themselves; with them
+   go such shorter words as stand next to them.
 
 A replacement character (U+FFFD) means that characters of the original are lost.
 
@@ -138,7 +141,8 @@ def _word_counts(df: DataFrame, text: str) -> DataFrame:
 
 
 def substitutions(df: DataFrame, text: str, min_support: int = 3) -> DataFrame:
-    """(word, original, chain, swap): what each garbled word of the corpus stands for."""
+    """(word, original, chain, swap, sure): what each garbled word of the corpus stands for; ``sure``: of a
+    swap, the original has letters and stands in more rows than the word."""
     # Few rows with much work each: spread over all cores whatever their size in bytes.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = materialise(_word_counts(df.filter(~F.contains(F.col(text), F.lit(LOST))), text)).repartition(parts, "word")
@@ -171,10 +175,12 @@ def substitutions(df: DataFrame, text: str, min_support: int = 3) -> DataFrame:
     table = clean.filter(F.length("word") <= MAX_WORD).select("word", "n_docs").repartition(parts, "word").mapInArrow(generate, "word string, original string, chain string, support long")
     is_swap = F.col("chain").startswith("swap:")
     # Chains of UTF-8 can only hit suspect words, swaps only others.
-    hit = table.join(words.select("word", "n_docs", "suspect"), "word").filter(F.col("suspect") != is_swap)
+    hit = table.drop("n_docs").join(words.select("word", "n_docs", "suspect"), "word").filter(F.col("suspect") != is_swap)
     # One original per word: that of the shortest chain, then the commonest.
-    best = hit.groupBy("word").agg(F.min_by(F.struct("original", "chain"), F.struct(F.length("chain"), -F.col("support"), F.col("original"))).alias("b"))
-    proved = materialise(best.select("word", "b.original", "b.chain", F.col("b.chain").startswith("swap:").alias("swap")))
+    best = hit.groupBy("word").agg(F.max("n_docs").alias("n_docs"), F.min_by(F.struct("original", "chain", "support"), F.struct(F.length("chain"), -F.col("support"), F.col("original"))).alias("b"))
+    swapped = F.col("b.chain").startswith("swap:")
+    sure = swapped & F.col("b.original").rlike(r"\p{L}") & (F.col("b.support") > F.col("n_docs"))
+    proved = materialise(best.select("word", "b.original", "b.chain", swapped.alias("swap"), sure.alias("sure")))
     # The chains that the dictionary proves: bounded by the catalog of chains.
     support = proved.filter(~F.col("swap")).groupBy("chain").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_support).orderBy(F.desc("n"), "chain").collect()
     chains = [r.chain for r in support]
@@ -185,13 +191,13 @@ def substitutions(df: DataFrame, text: str, min_support: int = 3) -> DataFrame:
             for w in batch.column("word").to_pylist():
                 for chain, got in originals(w, chains):
                     if all(c in alphabet for c in got) and not _suspect(got, alphabet):
-                        rows.append((w, got, chain, False))
+                        rows.append((w, got, chain, False, False))
                         break
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["word", "original", "chain", "swap"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["word", "original", "chain", "swap", "sure"])
 
     unknown = words.filter("suspect").select("word").join(proved.select("word"), "word", "left_anti").repartition(parts, "word")
-    return proved.unionByName(unknown.mapInArrow(rest, "word string, original string, chain string, swap boolean"))
+    return proved.unionByName(unknown.mapInArrow(rest, "word string, original string, chain string, swap boolean, sure boolean"))
 
 
 def restore(df: DataFrame, key: str, text: str, min_swaps: int = 3) -> DataFrame:
@@ -203,12 +209,15 @@ def restore(df: DataFrame, key: str, text: str, min_swaps: int = 3) -> DataFrame
     lost = F.contains(F.col("_text"), F.lit(LOST))
     # Exact copies are restored once.
     texts = materialise(rows.filter(~lost).groupBy("_row", "_text").agg(F.lit(1).alias("one")).select("_row", "_text"))
-    subs = materialise(substitutions(df, text))
+    subs = materialise(substitutions(texts, "_text"))
+    letters = _letters(subs.filter("swap").select(F.col("original").alias("word")))
     words = F.array_distinct(F.regexp_extract_all(F.col("_text"), F.lit(f"({WORD})"), F.lit(1)))
     pairs = texts.select("_row", F.explode(words).alias("word")).join(subs, "word")
-    long_swap = F.col("swap") & (F.length("word") >= 4)
-    per_text = pairs.groupBy("_row").agg(F.collect_list(F.struct("word", "original", "chain", "swap")).alias("subs"), F.count(F.when(~F.col("swap"), 1)).alias("k"), F.count(F.when(long_swap, 1)).alias("s"))
-    damaged = texts.join(per_text.filter((F.col("k") > 0) | (F.col("s") >= min_swaps)), "_row")
+    long_swap = F.col("swap") & (F.length("word") >= 4) & F.col("original").rlike(r"\p{L}")
+    per_text = pairs.groupBy("_row").agg(
+        F.collect_list(F.struct("word", "original", "chain", "swap", "sure")).alias("subs"), F.count(F.when(~F.col("swap"), 1)).alias("k"), F.count(F.when(long_swap, 1)).alias("s"), F.count(F.when(long_swap & F.col("sure"), 1)).alias("sure")
+    )
+    damaged = texts.join(per_text.filter((F.col("k") > 0) | (F.col("s") >= min_swaps) | (F.col("sure") > 0)), "_row")
     pattern = WORD.replace(r"\x{10000}-\x{10ffff}", "\U00010000-\U0010ffff")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,23 +226,9 @@ def restore(df: DataFrame, key: str, text: str, min_swaps: int = 3) -> DataFrame
             out = []
             for t, subs_, s in zip(batch.column("_text").to_pylist(), batch.column("subs").to_pylist(), batch.column("s").to_pylist(), strict=True):
                 table = {x["word"]: x["original"] for x in subs_ if not x["swap"]}
-                swaps = [x for x in subs_ if x["swap"]] if s >= min_swaps else []
-                pair = None
-                if swaps:
-                    tally: dict[str, int] = {}
-                    for x in swaps:
-                        tally[x["chain"]] = tally.get(x["chain"], 0) + len(x["word"])
-                    pair = max(sorted(tally), key=lambda c: tally[c]).split(":")[1:]
-
-                def one(m, table=table, pair=pair):
-                    w = m.group()
-                    if w in table:
-                        return table[w]
-                    if pair and not any("A" <= c <= "Z" or "a" <= c <= "z" for c in w):
-                        return unswap(w, *pair) or w
-                    return w
-
-                out.append(find.sub(one, t))
+                table |= _swapped(t, find, table, [x for x in subs_ if x["swap"]], s >= min_swaps, letters)
+                places = table.pop(None, {})
+                out.append(find.sub(lambda m, table=table, places=places: table.get(m.group()) or places.get(m.start()) or m.group(), t))
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(out, pa.string())], ["_row", "restored"])
 
     fixed = damaged.select("_row", "_text", "subs", "s").mapInArrow(rewrite, "_row long, restored string")
@@ -241,6 +236,36 @@ def restore(df: DataFrame, key: str, text: str, min_swaps: int = 3) -> DataFrame
     return whole.unionByName(rows.filter(lost).select(F.col("_key").alias(key), F.lit(None).cast("string").alias("restored"), F.lit(True).alias("lost")))
 
 
+def _swapped(text: str, find, table: dict[str, str], swaps: list[dict], several: bool, letters: frozenset[str]) -> dict:
+    """{word: original} of the swapped words of ``text``, under None {place: original} of those that are
+    so in some places only.  ``table``: the words that other chains explain; ``several``: enough longer
+    words prove a swap."""
+    if not several:
+        swaps = [x for x in swaps if x["sure"]]
+    # Pairs may agree on a word, so each is tried on all words.
+    fits = {c: {x["word"]: x["original"] for x in swaps if swap(x["original"], *c.split(":")[1:]) == x["word"]} for c in sorted({x["chain"] for x in swaps})}
+    if not fits:
+        return {}
+    chain = max(fits, key=lambda c: sum(map(len, fits[c])))
+    pair, own = chain.split(":")[1:], fits[chain]
+    if not several:
+        found = list(find.finditer(text))
+        at = {i for i, m in enumerate(found) if len(m.group()) >= 4 and m.group() in own}
+        for step in (1, -1):
+            for i in sorted(at, reverse=step < 0):
+                j = i + step
+                while 0 <= j < len(found) and found[j].group() in own and not any(c.isascii() and c.isalpha() for c in text[found[min(i, j)].end() : found[max(i, j)].start()]):
+                    at.add(j)
+                    i, j = j, j + step
+        return {None: {found[i].start(): own[found[i].group()] for i in at}}
+    seen = {m.group() for m in find.finditer(text)} - set(table)
+    more = {w: got for w in seen - set(own) if (got := unswap(w, *pair)) != w}
+    mixed = {w for w in more if any(c.isascii() and c.isalpha() for c in w)}
+    # A text that has a character which the swap can't give, or would give it strange letters, isn't swapped as a whole.
+    whole = not table and len(mixed) < len(own) and all(got and all(c in letters for c in got if c.isalpha()) for got in more.values())
+    return {w: got for w, got in more.items() if got and (whole or w not in mixed)} | own
+
+
 def unswap(word: str, true: str, wrong: str) -> str | None:
     """Undo ``swap``; None where the word can't come from it."""
     _, back = _reading(wrong)

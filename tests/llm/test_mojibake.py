@@ -50,3 +50,24 @@ def test_forms_can_be_undone():
                 assert (chain, t) in mojibake.originals(form, [chain])
             else:
                 assert mojibake.unswap(form, *chain.split(":")[1:]) == t
+
+
+POLISH = ["Nowa książka leży na półce", "Jestem pewien, że źródło jest święte", "Będę później, więc zacznij", "Śnieg pada w górach"]
+
+
+def test_swaps_of_words_with_ascii_letters(spark):
+    clean = POLISH * 3 + CLEAN
+    for true, wrong in (("cp1250", "cp1252"), ("iso8859-2", "latin-1")):
+        whole = ". ".join(POLISH)
+        # The last word stands nowhere else.
+        bad = [whole, whole + " mąż"]
+        got = run(spark, clean + [mojibake.swap(t, true, wrong) for t in bad])
+        assert got == {len(clean) + i: (t, False) for i, t in enumerate(bad)}
+
+
+def test_one_swapped_word(spark):
+    clean = POLISH * 3 + CLEAN + ["Ta książka też", "Inna książka…", "Наша река и новая дорога идёт"] + ["река и"]
+    # Nothing else in the texts may change.
+    cases = [("The {} is new – à côté, être.", "książka", "cp1250", "cp1252"), ("El {} año.", "река", "cp1251", "cp1252"), ("El {} à la année.", "река и", "cp1251", "cp1252")]
+    bad = [t.format(mojibake.swap(w, a, b)) for t, w, a, b in cases]
+    assert run(spark, clean + bad) == {len(clean) + i: (t.format(w), False) for i, (t, w, _, _) in enumerate(cases)}
