@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,11 +26,19 @@ def _folder(spark: SparkSession) -> str:
 
 @R.add("""select row_id, coalesce(id, '') as id, coalesce(replace(replace(text, chr(13), ' '), chr(10), ' '), '') as text from posts""")
 def s01_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """All posts through CSV with padded header names and unquoted commas in the last field."""
+    """All posts through CSV with padded header names and unquoted commas in the last field (texts that hold quotes are quoted)."""
     path = _folder(spark)
     flat = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]", " ")
-    p = table(spark, sf, "posts").select(F.col("row_id").alias(" row_id"), F.coalesce("id", F.lit("")).alias("id "), flat.alias(" text "))
-    p.write.option("header", True).option("escape", '"').option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    last = F.when(F.contains(flat, F.lit('"')), quoted(flat)).otherwise(flat)
+    lines = table(spark, sf, "posts").select(F.concat_ws(",", F.col("row_id").cast("string"), quoted(F.coalesce("id", F.lit(""))), last).alias("value"))
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([" row_id,id , text "])], ["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("value")], ["value"])
+
+    lines.mapInArrow(headed, "value string").write.text(path)
     return readers.csv_rows(spark, path).select(F.col("row_id").cast("long").alias("row_id"), "id", "text")
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from corpusloom.functions import text as T
 
@@ -15,16 +18,27 @@ def csv_rows(spark: SparkSession, path: str) -> DataFrame:
 
     Fields beyond the header are joined to the last column with ``,``, as unquoted commas of
     a last text column are.  Quoted fields may hold line breaks.
+    A row's fields have no fixed number; more than a million raise an error.
     """
     head = spark.read.csv(path, header=True, multiLine=True, escape='"')
     names = [c.strip() for c in head.columns]
-    # A few spare columns catch the overflow of a row.
-    spare = [f"_over{i}" for i in range(8)]
-    schema = ", ".join(f"`{n}` string" for n in [*names, *spare])
-    rows = spark.read.csv(path, header=True, multiLine=True, escape='"', schema=schema, enforceSchema=True)
-    last = F.concat_ws(",", names[-1], *spare)
-    out = [F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names[:-1]]
-    return rows.select(*out, F.coalesce(last, F.lit("")).alias(names[-1]))
+    # Rows with more or fewer fields than the header come whole beside their columns.
+    schema = ", ".join(f"`{n}` string" for n in [*names, "_raw"])
+    rows = spark.read.csv(path, header=True, multiLine=True, escape='"', schema=schema, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_raw", maxColumns=1_000_000)
+    rows = rows.withColumn("_fields", _fields("_raw"))
+    field = lambda i: F.when(F.col("_raw").isNull(), F.col(f"`{names[i]}`")).otherwise(F.get("_fields", F.lit(i)))
+    n = len(names) - 1
+    last = F.when(F.col("_raw").isNull(), F.col(f"`{names[n]}`")).otherwise(F.array_join(F.slice("_fields", F.lit(n + 1), F.greatest(F.size("_fields") - n, F.lit(0))), ","))
+    return rows.select(*[F.coalesce(field(i), F.lit("")).alias(names[i]) for i in range(n)], F.coalesce(last, F.lit("")).alias(names[n]))
+
+
+@F.udf(ArrayType(StringType()), useArrow=True)
+def _fields(record: str | None) -> list[str] | None:
+    """The fields of one CSV record, however many."""
+    if record is None:
+        return None
+    csv.field_size_limit(2**31 - 1)
+    return next(csv.reader(io.StringIO(record, newline="")), [])
 
 
 # The names under which documents wrap their list of records.
@@ -127,7 +141,8 @@ def class_items(df: DataFrame, html: str, item: str, fields: dict[str, str]) ->
 
     An item reaches to the next one; a part's text is that of the first element with its class.
     """
-    blocks = F.slice(F.split(F.col(html), rf'<[a-z]+[^>]*class="{item}(?: [^"]*)?"[^>]*>'), F.lit(2), F.lit(1_000_000))
-    each = df.select("*", F.posexplode(blocks).alias("item_no", "_b"))
+    parts = F.split(F.col(html), rf'<[a-z]+[^>]*class="{item}(?: [^"]*)?"[^>]*>')
+    blocks = F.slice(parts, F.lit(2), F.size(parts) - 1)
+    each = df.filter(F.col(html).isNotNull()).select("*", F.posexplode(blocks).alias("item_no", "_b"))
     part = lambda c: T.strip_html(F.regexp_extract("_b", rf'(?is)(<([a-z]+)[^>]*class="{c}(?: [^"]*)?"[^>]*>.*?</\2>)', 1))
     return each.select(*[c for c in df.columns if c != html], "item_no", *[part(c).alias(n) for n, c in fields.items()])

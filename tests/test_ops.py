@@ -117,6 +117,20 @@ def test_readers(spark, tmp_path):
     assert len(readers.artifacts(spark, str(tmp_path / "a.csv")).first().sha256) == 64
 
 
+def test_csv_overflow_is_whole(spark, tmp_path):
+    many = ",".join(str(i) for i in range(30_000))
+    texts = ["a, b", ",".join("abcdefghijkl"), many, ",,", "", 'x,"two\nlines, and"" more",,,,,,,,,z']
+    rows = [(str(i), texts[i % len(texts)] if i < 12 else "plain") for i in range(400_000)]
+    (tmp_path / "a.csv").write_text(" ID , Text \n" + "".join(f"{i},{t}\n" for i, t in rows) + "short\n")
+    got = {r.ID: r.Text for r in readers.csv_rows(spark, str(tmp_path / "a.csv")).collect()}
+    assert got == {i: 'x,two\nlines, and" more,,,,,,,,,z' if '"' in t else t for i, t in rows} | {"short": ""}
+
+
+def test_class_items_has_no_limit(spark):
+    df = spark.range(1).select(F.repeat(F.lit('<p class="i">'), 1_000_010).alias("html"))
+    assert readers.class_items(df, "html", "i", {}).count() == 1_000_010
+
+
 def test_manifest(spark):
     df = spark.createDataFrame([("a|b", None), ("c", 1)], "x string, y int")
     assert [r.line for r in sinks.manifest(df, ["x", "y"]).collect()] == ["a b|", "c|1"]
