@@ -21,7 +21,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.jsonvalue import parse
@@ -201,11 +201,8 @@ def changes(df: DataFrame, fields: list[str], feed: str = "feed", file_no: str =
     a = values.filter("side = 0").select("feed", "at", "field", F.col("path").alias("old_path"), "id", F.col("value").alias("old"))
     b = values.filter("side = 1").select("feed", "at", "field", F.col("path").alias("new_path"), "id", F.col("value").alias("new"))
     same = a.join(b, ["feed", "at", "field", "id"]).join(candidates.drop("type"), ["feed", "at", "field", "old_path", "new_path"], "left_semi")
-    proved = same.groupBy("feed", "at", "field", "old_path", "new_path").agg(F.min((F.col("old") == F.col("new")) & (F.size("old") == 1)).alias("ok"), F.count(F.lit(1)).alias("n")).filter("ok")
-    # Each member takes part in one rename: the one that most posts prove, then by name.
-    for side in ("old_path", "new_path"):
-        w = Window.partitionBy("feed", "at", "field", side).orderBy(F.desc("n"), "old_path", "new_path")
-        proved = proved.withColumn("k", F.row_number().over(w)).filter("k = 1").drop("k")
+    proved = same.groupBy("feed", "at", "field", "old_path", "new_path").agg(F.min((F.col("old") == F.col("new")) & (F.size("old") == 1)).alias("ok")).filter("ok")
+    # Every proved pair is a rename; a member may take part in several.
     renamed = proved.select("feed", F.col("at").alias("file_no"), "field", "old_path", "new_path", F.lit("renamed").alias("change"))
     used = renamed.select("feed", "file_no", "field", F.explode(F.array(F.struct(F.col("old_path").alias("path"), F.lit(0).alias("side")), F.struct(F.col("new_path").alias("path"), F.lit(1).alias("side")))).alias("u")).select("feed", "file_no", "field", "u.path", "u.side")
     kind = F.when(F.col("new_type").isNull(), "removed").when(F.col("old_type").isNull(), "added").otherwise("retyped")

@@ -38,6 +38,12 @@ def test_no_rename_without_proof(spark):
         assert ("a", "", "removed") in got and ("", "c", "added") in got and not any(c == "renamed" for *_, c in got)
 
 
+def test_every_proved_pair_is_a_rename(spark):
+    rows = [("f", 0, "p1", {"a": 1, "b": 1}, None), ("f", 1, "p1", {"x": 1, "y": 1}, None)]
+    got = sorted((r.old_path, r.new_path, r.change) for r in drift.changes(frame(spark, rows), ["raw_json"]).collect())
+    assert got == [(o, n, "renamed") for o in "ab" for n in "xy"]
+
+
 def test_types_and_union(spark):
     rows = [("f", 0, "a", {"x": 1, "y": [1], "z": True, "X": "s"}, None), ("f", 1, "a", {"x": 1.5, "y": ["s"], "z": "no"}, None), ("g", 0, "b", {"x": 3, "y": [{"k": 1}], "w": ["t"], "id": 12345678901234567890123}, None)]
     df = frame(spark, rows)
