@@ -49,6 +49,12 @@ def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, sf, "documents"), "doc_id", "text")
 
 
+def p7_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """How many documents take the tree, and their pieces that are joined in it."""
+    joined = tokens.pieces(table(spark, sf, "documents"), "doc_id", "text").filter("_n > 1")
+    return joined.agg(F.countDistinct("_row").alias("n_docs"), F.count(F.lit(1)).alias("n_pieces"))
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that share 12 consecutive words with an evaluation item."""
     return leaks.find_leaks(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "eval_items"), "item_id", "text")
@@ -71,7 +77,7 @@ def p9_chains(spark: SparkSession, sf: str) -> DataFrame:
     return subs.groupBy("chain").agg(F.count(F.lit(1)).alias("n_words"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p5_found": p5_found, "p5_classes": p5_classes, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_chains": p9_chains}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p5_found": p5_found, "p5_classes": p5_classes, "p6_found": p6_found, "p7_ids": p7_ids, "p7_tree": p7_tree, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_chains": p9_chains}
 _P8 = r"""
 with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where text is not null),
 i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from eval_items where text is not null),
@@ -94,6 +100,10 @@ o as (select a.source_table, a.id as id_a, b.id as id_b, count(*) as o from g a
 select o.source_table, id_a, id_b from o join n x on x.source_table = o.source_table and x.id = id_a join n y on y.source_table = o.source_table and y.id = id_b where o >= 0.6 * (x.n + y.n - o) - 1e-9""",
     "p8_found": _P8,
     "p8_items": f"select item_id, count(distinct doc_id) as n_docs from ({_P8}) group by 1",
+    "p7_tree": r"""
+with d as (select doc_id, text from documents where length(text) > 100000 or regexp_matches(text, '[^ \t\n\r]{513}|[ \t\n\r]{513}')),
+s as (select doc_id, unnest(list_transform(regexp_extract_all(text, '[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+'), lambda x: length(x))) as n from d)
+select count(distinct doc_id) as n_docs, coalesce(sum(power(2, ceil(log2(n / 512.0)))), 0)::bigint as n_pieces from s where n > 512""",
     "p6_found": """
 with best as (
   select lower(trim(theme)) as theme, post_id, max(score) as score
