@@ -46,3 +46,26 @@ def test_edges(spark):
     docs = [(1, "x " + text.lower() + " y"), (2, None), (3, ""), (4, " "), (5, "ä-b.c d e f g h i j k"), (6, "a " * 50_000), (7, text), (7, text), (8, "é" * 100_000)]
     assert run_(spark, docs, items, 12) == {(1, 1), (1, 2), (6, 6), (7, 1), (7, 2)}
     assert run_(spark, [], items, 12) == set() and run_(spark, docs, [], 12) == set()
+
+
+def test_postings_that_are_jumped_over_are_not_read():
+    rng = random.Random(6)
+    words = [f"w{int(2000 * rng.random() ** 2)}" for _ in range(4000)]
+    items = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(300)]
+    index = leaks.Index(items)
+    docs = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(40)] + [items[7] + " " + items[8]]
+    text, item, read, total = index.leaks(docs, 20)
+    assert set(zip(text.tolist(), item.tolist(), strict=True)) == brute(enumerate(docs), enumerate(items), 12)
+    assert 0 < read < 0.8 * total
+
+
+def test_several_indexes_and_keys_of_text(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(30)]
+    items = [(f"k{i}", " ".join(rng.choice(words) for _ in range(20))) for i in range(50)] + [(None, "w1 " * 20)]
+    docs = [(d, items[d][1]) for d in range(20)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame(items, "item string, text string")
+    for budget in (10**9, 1000):
+        got = [(r.doc_id, r.item) for r in leaks.find_leaks(d, "doc_id", "text", i, "item", "text", budget=budget).collect()]
+        assert len(got) == len(set(got)) and set(got) == brute(docs, items[:-1], 12)
