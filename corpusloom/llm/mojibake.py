@@ -1,14 +1,15 @@
 """Texts that were decoded with the wrong character encoding, restored by dictionary.
 
 1. The words of all documents that hold characters beyond ASCII are counted (a word is a longest run
-   of ASCII letters and characters beyond ASCII).  Those that no encoding chain could have
+   of ASCII letters and characters beyond ASCII, of any length).  Those that no encoding chain could have
    produced, as far as their characters tell, are the clean words of the corpus.
 2. The garbled form of every distinct clean word is generated under every chain: the word's UTF-8 bytes
    read as a one-byte encoding, once or twice over, or its bytes in one one-byte encoding read as
-   another.  A hash join of the corpus words with this table gives the verified originals.
-3. Chains that the join proves are also undone on words that the table lacks (names, compounds,
-   Japanese runs, runs longer than ``MAX_WORD``), where undoing them gives valid text of characters that
-   clean words have.
+   another.  Forms that stand nowhere in the corpus are dropped where they are made, by a bitmap of the hashes of
+   its words (16 bits a word, at most ``2**28``).  A hash join of the corpus words with this table gives the
+   verified originals.
+3. Words that the table lacks (names, compounds, Japanese runs that stand nowhere undamaged) are put together
+   from the garbled forms of the characters of clean words, under the chains that the join proves.
 4. Documents are joined with the substitutions of their words and rewritten.  Swaps of
    one-byte encodings can turn a word into another real word.  Where several longer words prove the
    swap, it is undone on the words whose originals the corpus has, on words without ASCII letters, and, if
@@ -24,10 +25,12 @@ read whole; exact copies each give a row; a damaged text in places is restored i
 
 from __future__ import annotations
 
+import codecs
 import functools
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +42,6 @@ LOST = "�"
 READ_AS = ["cp1252", "latin-1", "cp437", "mac_roman", "cp1250", "cp1251", "cp1253", "cp1254", "cp850", "cp866", "koi8-r", "iso8859-2", "iso8859-5", "iso8859-7", "iso8859-15"]
 #: Swaps of one-byte encodings: the bytes of the first read as the second.
 SWAPS = [(a, b) for a in ("cp1251", "cp1250", "cp1253", "koi8-r", "iso8859-2", "iso8859-5", "iso8859-7") for b in ("cp1252", "latin-1")]
-#: Characters of a word in the table of garbled forms; longer runs are undone without it.
-MAX_WORD = 64
 #: The pattern of words with characters beyond ASCII.
 _ANY = r"A-Za-z\u0080-\uffff\x{10000}-\x{10ffff}"
 #: Tried at starts of runs only and without backtracking, so that its time is linear in the text.
@@ -48,7 +49,7 @@ WORD = rf"(?<![{_ANY}])[A-Za-z]*+[{_ANY[6:]}][{_ANY}]*+"
 
 
 @functools.lru_cache(maxsize=64)
-def _reading(name: str) -> tuple[list[str], dict[str, int]]:
+def _reading(name: str) -> tuple[str, dict[int, int]]:
     """byte -> character and back; bytes that the encoding leaves open stand for themselves."""
     to = []
     for b in range(256):
@@ -56,25 +57,32 @@ def _reading(name: str) -> tuple[list[str], dict[str, int]]:
             to.append(bytes([b]).decode(name))
         except UnicodeDecodeError:
             to.append(chr(b))
-    back = {c: b for b, c in enumerate(to)}
+    back = {ord(c): b for b, c in enumerate(to)}
     if name == "cp1252":
         # Read with or without the C1 block, the byte is the same.
-        back.update({chr(b): b for b in range(128, 160)} | {c: b for b, c in enumerate(to)})
-    return to, back
+        back.update({b: b for b in range(128, 160)} | {ord(c): b for b, c in enumerate(to)})
+    return "".join(to), back
+
+
+def _bytes(word: str, name: str) -> bytes | None:
+    """The bytes that read as ``name`` give ``word``, or None."""
+    try:
+        return codecs.charmap_encode(word, "strict", _reading(name)[1])[0]
+    except UnicodeEncodeError:
+        return None
 
 
 def garble(word: str, name: str) -> str:
     """The UTF-8 bytes of ``word`` read as ``name``."""
-    to, _ = _reading(name)
-    return "".join(to[b] for b in word.encode("utf-8"))
+    return codecs.charmap_decode(word.encode("utf-8"), "strict", _reading(name)[0])[0]
 
 
 def undo(word: str, name: str) -> str | None:
     """The text whose UTF-8 bytes read as ``name`` give ``word``, or None."""
-    _, back = _reading(name)
+    raw = _bytes(word, name)
     try:
-        got = bytes([back[c] for c in word]).decode("utf-8")
-    except (KeyError, UnicodeDecodeError):
+        got = word if raw is None else raw.decode("utf-8")
+    except UnicodeDecodeError:
         return None
     return got if got != word else None
 
@@ -85,39 +93,51 @@ def swap(word: str, true: str, wrong: str) -> str | None:
         raw = word.encode(true)
     except UnicodeEncodeError:
         return None
-    to, _ = _reading(wrong)
-    got = "".join(to[b] for b in raw)
+    got = codecs.charmap_decode(raw, "strict", _reading(wrong)[0])[0]
     return got if got != word else None
 
 
-def forms(word: str) -> dict[str, str]:
-    """{garbled form: chain} of a clean word; of chains with equal forms the first counts."""
-    out: dict[str, str] = {}
+def unswap(word: str, true: str, wrong: str) -> str | None:
+    """Undo ``swap``; None where the word can't come from it."""
+    raw = _bytes(word, wrong)
+    try:
+        return None if raw is None else raw.decode(true)
+    except UnicodeDecodeError:
+        return None
+
+
+def forms(words: list[str]) -> Iterator[tuple[str, list[str | None]]]:
+    """(chain, the garbled form of each of the clean ``words``), of all chains in their order."""
+    # A line a word: all these encodings read the bytes of ASCII, line ends among them, as ASCII.
+    lines = "\n".join(words)
     for a in READ_AS:
-        once = garble(word, a)
-        out.setdefault(once, a)
+        once = garble(lines, a)
+        yield a, once.split("\n")
         for b in READ_AS:
-            out.setdefault(garble(once, b), f"{a}>{b}")
+            yield f"{a}>{b}", garble(once, b).split("\n")
     for a, b in SWAPS:
-        got = swap(word, a, b)
-        if got is not None:
-            out.setdefault(got, f"swap:{a}:{b}")
-    out.pop(word, None)
-    return out
-
-
-def originals(word: str, chains: list[str]) -> list[tuple[str, str]]:
-    """(chain, original) for each of ``chains`` that can be undone on ``word``."""
-    out = []
-    for chain in chains:
-        if chain.startswith("swap:"):
-            continue
-        got: str | None = word
-        for name in reversed(chain.split(">")):
-            got = undo(got, name) if got is not None else None
-        if got is not None:
-            out.append((chain, got))
-    return out
+        yield f"swap:{a}:{b}", [swap(w, a, b) for w in words]
+
+
+def by_characters(word: str, chain: str, table: dict[str, str], lengths: list[int]) -> str | None:
+    """``word`` put together from the garbled forms of single characters in ``table``, or None.
+
+    UTF-8 is a prefix code and so are its readings: at each place at most one form fits.
+    """
+    if chain.rpartition(">")[2] == "cp1252":
+        # As ``_reading``: with or without the C1 block, the byte is the same.
+        to = _reading("cp1252")[0]
+        word = "".join(to[ord(c)] if "\x80" <= c < "\xa0" else c for c in word)
+    out, at = [], 0
+    while at < len(word):
+        for n in lengths:
+            if (c := table.get(word[at : at + n])) is not None:
+                out.append(c)
+                at += n
+                break
+        else:
+            return None
+    return "".join(out)
 
 
 def _suspect(word: str, alphabet: frozenset[str] | None) -> bool:
@@ -140,6 +160,18 @@ def _word_counts(df: DataFrame, text: str) -> DataFrame:
     return df.filter(F.col(text).rlike(r"[^\x00-\x7f]")).select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
+def _bitmap(words: DataFrame, n: int) -> tuple[int, np.ndarray]:
+    """A bitmap of the hashes of the words: 16 bits each, ``2**28`` in all at most, so a bounded broadcast."""
+    bits = min(28, max(16, (16 * n).bit_length()))
+    at = F.xxhash64("word").bitwiseAND(F.lit((1 << bits) - 1))
+    # The hash of a word is the same in numpy: 64 bits of XXH64 with seed 42 over its UTF-8 bytes.
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    got = words.select(F.shiftright(at, 6).alias("at"), one.alias("one")).groupBy("at").agg(F.bit_or("one").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[got.column("at").to_numpy()] = got.column("bits").to_numpy()
+    return bits, out.view(np.uint8)
+
+
 def substitutions(df: DataFrame, text: str, min_support: int = 3) -> DataFrame:
     """(word, original, chain, swap, sure): what each garbled word of the corpus stands for; ``sure``: of a
     swap, the original has letters and stands in more rows than the word."""
@@ -161,18 +193,32 @@ def substitutions(df: DataFrame, text: str, min_support: int = 3) -> DataFrame:
     words = materialise(classify(alphabet))
     clean = words.filter(~F.col("suspect"))
 
+    bitmap = df.sparkSession.sparkContext.broadcast(_bitmap(words, words.count()))
+
     def generate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        bits, there = bitmap.value
+        there, mask, digest = there.tobytes(), (1 << bits) - 1, xxhash.xxh64_intdigest
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                rows = [(g, w, c, n) for w, n in zip(batch.column("word").to_pylist(), batch.column("n_docs").to_pylist(), strict=True) for g, c in forms(w).items()]
-                if rows:
-                    g, w, c, n = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(g, pa.string()), pa.array(w, pa.string()), pa.array(c, pa.string()), pa.array(n, pa.int64())], ["word", "original", "chain", "support"])
-
-    # A word has about 250 garbled forms, so runs longer than any word (unspaced text) are left to step 3,
-    # which undoes chains at any length.
-    table = clean.filter(F.length("word") <= MAX_WORD).select("word", "n_docs").repartition(parts, "word").mapInArrow(generate, "word string, original string, chain string, support long")
+            everything, n_docs = whole.column("word").to_pylist(), whole.column("n_docs").to_pylist()
+            # Slices of a bounded number of characters, whatever the length of words.
+            ends = np.cumsum([len(w) for w in everything]) // 20_000
+            for at in np.unique(ends, return_index=True)[1].tolist():
+                own = everything[at : at + int((ends == ends[at]).sum())]
+                found: dict[tuple[str, int], str] = {}
+                for chain, garbled in forms(own):
+                    for i, g in enumerate(garbled):
+                        if g is not None:
+                            h = digest(g.encode("utf-8"), 42) & mask
+                            # Of chains with equal forms the first counts.
+                            if there[h >> 3] >> (h & 7) & 1 and g != own[i]:
+                                found.setdefault((g, i), chain)
+                if found:
+                    i = [i for _, i in found]
+                    yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in found], pa.string()), pa.array([own[k] for k in i], pa.string()), pa.array(list(found.values()), pa.string()), pa.array([n_docs[at + k] for k in i], pa.int64())], ["word", "original", "chain", "support"])
+
+    table = clean.select("word", "n_docs").repartition(parts, "word").mapInArrow(generate, "word string, original string, chain string, support long")
     is_swap = F.col("chain").startswith("swap:")
     # Chains of UTF-8 can only hit suspect words, swaps only others.
     hit = table.drop("n_docs").join(words.select("word", "n_docs", "suspect"), "word").filter(F.col("suspect") != is_swap)
@@ -186,11 +232,17 @@ def substitutions(df: DataFrame, text: str, min_support: int = 3) -> DataFrame:
     chains = [r.chain for r in support]
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The garbled forms of the characters of clean words: bounded by Unicode and the catalog of chains.
+        tables = []
+        for chain in chains:
+            own = {functools.reduce(garble, chain.split(">"), c): c for c in alphabet}
+            tables.append((chain, own, sorted({len(g) for g in own})))
         for batch in batches:
             rows = []
             for w in batch.column("word").to_pylist():
-                for chain, got in originals(w, chains):
-                    if all(c in alphabet for c in got) and not _suspect(got, alphabet):
+                for chain, own, lengths in tables:
+                    got = by_characters(w, chain, own, lengths)
+                    if got is not None and got != w and not _suspect(got, alphabet):
                         rows.append((w, got, chain, False, False))
                         break
             if rows:
@@ -266,14 +318,5 @@ def _swapped(text: str, find, table: dict[str, str], swaps: list[dict], several:
     return {w: got for w, got in more.items() if got and (whole or w not in mixed)} | own
 
 
-def unswap(word: str, true: str, wrong: str) -> str | None:
-    """Undo ``swap``; None where the word can't come from it."""
-    _, back = _reading(wrong)
-    try:
-        return bytes([back[c] for c in word]).decode(true)
-    except (KeyError, UnicodeDecodeError):
-        return None
-
-
 def digest(restored: str | None) -> str:
     return "" if restored is None else hashlib.md5(restored.encode("utf-8")).hexdigest()

@@ -1,3 +1,5 @@
+import functools
+
 from corpusloom.llm import mojibake
 
 CLEAN = ["La última montaña está cerca de Añover", "Die schöne Straße führt über Köln…", "Наша новая река течёт через большой город", "今日は古い港で新聞を読む。", "“Quoted” – it’s fine", "Αυτή η μεγάλη θάλασσα", "être jusqu’à près Noël"]
@@ -44,12 +46,25 @@ def test_long_runs(spark):
 
 
 def test_forms_can_be_undone():
-    for t in ("ñ", "Straße", "Эта", "日本", "…"):
-        for form, chain in mojibake.forms(t).items():
-            if not chain.startswith("swap:"):
-                assert (chain, t) in mojibake.originals(form, [chain])
-            else:
+    words = ["ñ", "Straße", "Эта", "日本", "…"]
+    for chain, garbled in mojibake.forms(words):
+        for t, form in zip(words, garbled, strict=True):
+            if form is None or form == t:
+                continue
+            if chain.startswith("swap:"):
                 assert mojibake.unswap(form, *chain.split(":")[1:]) == t
+            else:
+                table = {functools.reduce(mojibake.garble, chain.split(">"), c): c for x in words for c in x}
+                lengths = sorted({len(g) for g in table})
+                assert mojibake.by_characters(form, chain, table, lengths) == t
+                assert mojibake.by_characters(form + "☃", chain, table, lengths) is None
+
+
+def test_read_with_or_without_c1():
+    table = {mojibake.garble(c, "cp1252"): c for c in "日本語“é"}
+    lengths = sorted({len(g) for g in table})
+    for word in ("日本語“é", "“日"):
+        assert mojibake.by_characters(word.encode().decode("latin-1"), "cp1252", table, lengths) == word
 
 
 POLISH = ["Nowa książka leży na półce", "Jestem pewien, że źródło jest święte", "Będę później, więc zacznij", "Śnieg pada w górach"]
