@@ -32,9 +32,14 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_classes(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per post or speech: its class of equal texts and how many other classes are near."""
+    """One row per post or speech: its class of equal sets of word pairs and how many other classes are near."""
     got = neardup.classes(_near(spark, sf))
-    return got.select(F.col("scope").alias("source_table"), F.col("key").alias("id"), F.col("cls").alias("class_id"), "n_links")
+    return got.select(F.col("scope").alias("source_table"), F.col("key").alias("id"), F.col("class").alias("class_id"), "n_links")
+
+
+def p5_links(spark: SparkSession, sf: str) -> DataFrame:
+    """The pairs of classes that are near each other."""
+    return neardup.class_links(_near(spark, sf)).withColumnRenamed("scope", "source_table")
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,14 +82,25 @@ def p9_chains(spark: SparkSession, sf: str) -> DataFrame:
     return subs.groupBy("chain").agg(F.count(F.lit(1)).alias("n_words"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p5_found": p5_found, "p5_classes": p5_classes, "p6_found": p6_found, "p7_ids": p7_ids, "p7_tree": p7_tree, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_chains": p9_chains}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p5_found": p5_found, "p5_classes": p5_classes, "p5_links": p5_links, "p6_found": p6_found, "p7_ids": p7_ids, "p7_tree": p7_tree, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_chains": p9_chains}
 _P8 = r"""
 with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where text is not null),
 i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from eval_items where text is not null),
 dr as (select distinct doc_id, array_to_string(w[k:k + 11], ' ') as run from (select doc_id, w, unnest(generate_series(1, len(w) - 11)) as k from d where len(w) >= 12)),
 ir as (select distinct item_id, array_to_string(w[k:k + 11], ' ') as run from (select item_id, w, unnest(generate_series(1, len(w) - 11)) as k from i where len(w) >= 12))
 select distinct doc_id, item_id from dr join ir using (run)"""
+_P5 = r"""
+with t as (select 'posts' as source_table, id, text from posts where text is not null union select 'speeches', id, text from speeches where text is not null),
+w as (select source_table, id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from t),
+s as (select distinct source_table, id, list_sort(list_distinct(list_transform(w[:-2], lambda x, i: x || ' ' || w[i + 1]))) as k from w where len(w) >= 10),
+c as (select source_table, k, min(id) as rep from s group by all),
+g as (select source_table, rep, len(k) as n, unnest(k) as g from c),
+l as (select a.source_table, a.rep as class_a, b.rep as class_b, count(*)::int as shared from g a join g b on a.source_table = b.source_table and a.g = b.g and a.rep < b.rep group by a.source_table, a.rep, b.rep, a.n, b.n having count(*) >= 0.6 * (a.n + b.n - count(*)) - 1e-9)"""
 SQL: dict[str, str] = {
+    "p5_links": _P5 + " select * from l",
+    "p5_classes": _P5
+    + """, e as (select source_table, rep, count(*) as n_links from (select source_table, class_a as rep from l union all select source_table, class_b from l) group by all)
+select s.source_table, s.id, c.rep as class_id, coalesce(e.n_links, 0) as n_links from s join c using (source_table, k) left join e on e.source_table = c.source_table and e.rep = c.rep""",
     "p1_found": """
 with v as (select vec_id, list_transform(embedding, lambda x: x::double) as e from post_vectors where embedding is not null and len(embedding) = 128),
 u as (select vec_id, e, sqrt(list_dot_product(e, e)) as n from v where list_dot_product(e, e) > 0),

@@ -59,6 +59,12 @@ def test_long_texts_and_small_sketch(spark):
     assert run(spark, rows, 0.6, 2, 10, sketch_bits=4)[0] == brute(rows, 0.6, 2, 10)
 
 
+def test_split_and_chunked_lists(spark):
+    rows = corpus(220, 5, words=25)
+    for mu in (0.0, 0.01, 0.2, 100.0):
+        assert run(spark, rows, 0.6, 2, 10, hot=6, chunk=4, mu=mu)[0] == brute(rows, 0.6, 2, 10)
+
+
 def test_edges(spark):
     text = "One two three four five six seven eight nine TEN"
     rows = [("a", "1", text), ("a", "2", text.lower() + "!!"), ("a", "1", text), ("b", "3", text), ("a", "4", None), ("a", "5", ""), ("a", "6", "  "), ("a", "7", "short text"), (None, "8", text), ("a", None, text), ("a", "9", "x " * 3000), ("a", "10", "x " * 5000)]
@@ -76,8 +82,9 @@ def test_large_class_of_copies(spark):
     for _ in range(3):
         linked |= {x for _, a, b in some for x in (a, b) if a in linked or b in linked}
     assert len(linked) == 41 and len(some) < 100
-    one = {r.key: (r.cls, r.n_links) for r in neardup.classes(found).collect()}
-    assert len({c for c, _ in one.values()}) == 2 and all(n == 1 for _, n in one.values())
+    one = {r.key: (r['class'], r.n_links) for r in neardup.classes(found).collect()}
+    assert {c for c, _ in one.values()} == {"000", "near"} and all(n == 1 for _, n in one.values())
+    assert [tuple(r) for r in neardup.class_links(found).collect()] == [("s", "000", "near", 11)]
 
 
 def test_large_class_of_different_texts(spark):
