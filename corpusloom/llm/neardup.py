@@ -160,8 +160,8 @@ def _postings(classes: DataFrame, shared: Broadcast, side: str) -> DataFrame:
 
 
 def _merge(a: DataFrame, b: DataFrame, on: list[str], t: float) -> DataFrame:
-    """(cls_a, cls_b, c, first): candidates with the occurrences in their short lists; ``first``: the short
-    lists of a end first."""
+    """(cls_a, cls_b, c, rule, sizes): pairs with their occurrences in the short lists; ``rule`` packs how many they
+    need and whether the short lists of a end first, ``sizes`` both sizes."""
     columns = ["cls", "at", "end", *(f"s{i}" for i in range(_SIGNATURE))]
     a = a.select(*on, *[F.col(c).alias(f"a_{c}") for c in columns])
     b = b.select(*on, *[F.col(c).alias(f"b_{c}") for c in columns])
@@ -179,7 +179,7 @@ def _merge(a: DataFrame, b: DataFrame, on: list[str], t: float) -> DataFrame:
     hits = need - F.when(first, F.shiftright("a_end", 40)).otherwise(F.shiftright("b_end", 40))
     both = a.join(b, on).filter(can).groupBy(F.col("a_cls").alias("cls_a"), F.col("b_cls").alias("cls_b"))
     # Lists of one pair may be merged in both parts, so the threshold comes after their sum.
-    return both.agg(F.count(F.lit(1)).alias("c"), F.first(hits).alias("hits"), F.first(first).alias("first"), F.first(na.cast("int")).alias("size_a"), F.first(nb.cast("int")).alias("size_b"))
+    return both.agg(F.count(F.lit(1)).alias("c"), F.first(F.shiftleft(hits, 1) + first.cast("long")).alias("rule"), F.first(F.shiftleft(na, 32) + nb).alias("sizes"))
 
 
 def _probe(candidates: DataFrame, classes: DataFrame, shared: Broadcast, t: float, chunk: int) -> DataFrame:
@@ -242,10 +242,11 @@ def _probe(candidates: DataFrame, classes: DataFrame, shared: Broadcast, t: floa
     return total.filter(F.col("shared") + F.lit(1e-9) >= t * (F.col("size_a") + F.col("size_b") - F.col("shared")))
 
 
-def find(df: DataFrame, scope: Column, key: Column, text: Column, t: float = 0.8, shingle: int = 5, min_words: int = 1, mu: float = 0.01, hot: int = 8192, chunk: int = 4096, sketch_bits: int | None = None) -> NearDuplicates:
+def find(df: DataFrame, scope: Column, key: Column, text: Column, t: float = 0.8, shingle: int = 5, min_words: int = 1, mu: float = 0.002, hot: int = 8192, chunk: int = 4096, sketch_bits: int | None = None) -> NearDuplicates:
     """Classes of equal token sets and the links between classes with similarity ``t`` or more.
 
-    ``mu``: weight of DivideSkip's cost rule (the larger, the fewer long lists); ``hot``: records of a short list
+    ``mu``: weight of DivideSkip's cost rule (the larger, the fewer long lists; as what the merge of a list costs
+    here grows with the square of its length, it is small); ``hot``: records of a short list
     from which it is split; ``chunk``: records of a chunk of a long list; ``sketch_bits``: by the data where not given.
     """
     if not 0 < t <= 1:
@@ -263,8 +264,9 @@ def find(df: DataFrame, scope: Column, key: Column, text: Column, t: float = 0.8
     merged = _merge(cold, cold, ["token"], t)
     if Order.length(counts.max(keepdims=True))[0] > hot:
         split = _merge(_postings(classes, shared, "one"), _postings(classes, shared, "each"), ["token", "salt"], t)
-        merged = merged.unionByName(split).groupBy("cls_a", "cls_b").agg(F.sum("c").alias("c"), *[F.first(c).alias(c) for c in ("hits", "first", "size_a", "size_b")])
-    candidates = materialise(merged.filter("c >= hits").drop("hits"))
+        merged = merged.unionByName(split).groupBy("cls_a", "cls_b").agg(F.sum("c").alias("c"), F.first("rule").alias("rule"), F.first("sizes").alias("sizes"))
+    unpacked = [((F.col("rule") % 2) == 1).alias("first"), F.shiftright("sizes", 32).cast("int").alias("size_a"), F.col("sizes").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("size_b")]
+    candidates = materialise(merged.filter(F.col("c") >= F.shiftright("rule", 1)).select("cls_a", "cls_b", "c", *unpacked))
     links = materialise(_probe(candidates, classes, shared, t, chunk))
     return NearDuplicates(members, links)
 
