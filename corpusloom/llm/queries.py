@@ -20,6 +20,12 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return got.select(F.least("id", "neighbour").alias("vec_a"), F.greatest("id", "neighbour").alias("vec_b")).distinct()
 
 
+def p1_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Small leaves, so that any data make a tree: does it have several, and does the search find 0.98 of what brute force finds?"""
+    leaves, recall = neighbours.measured(table(spark, sf, "post_vectors"), "vec_id", "embedding", 128, k=5, least=0.8, leaf=100)
+    return spark.createDataFrame([(leaves > 1, recall >= 0.98)], "several_leaves boolean, recall_reached boolean")
+
+
 def _near(spark: SparkSession, sf: str) -> neardup.NearDuplicates:
     posts = table(spark, sf, "posts").select(F.lit("posts").alias("scope"), "id", "text")
     speeches = table(spark, sf, "speeches").select(F.lit("speeches").alias("scope"), "id", "text")
@@ -82,7 +88,7 @@ def p9_chains(spark: SparkSession, sf: str) -> DataFrame:
     return subs.groupBy("chain").agg(F.count(F.lit(1)).alias("n_words"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p5_found": p5_found, "p5_classes": p5_classes, "p5_links": p5_links, "p6_found": p6_found, "p7_ids": p7_ids, "p7_tree": p7_tree, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_chains": p9_chains}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_recall": p1_recall, "p5_found": p5_found, "p5_classes": p5_classes, "p5_links": p5_links, "p6_found": p6_found, "p7_ids": p7_ids, "p7_tree": p7_tree, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_chains": p9_chains}
 _P8 = r"""
 with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where text is not null),
 i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from eval_items where text is not null),
@@ -97,6 +103,7 @@ c as (select source_table, k, min(id) as rep from s group by all),
 g as (select source_table, rep, len(k) as n, unnest(k) as g from c),
 l as (select a.source_table, a.rep as class_a, b.rep as class_b, count(*)::int as shared from g a join g b on a.source_table = b.source_table and a.g = b.g and a.rep < b.rep group by a.source_table, a.rep, b.rep, a.n, b.n having count(*) >= 0.6 * (a.n + b.n - count(*)) - 1e-9)"""
 SQL: dict[str, str] = {
+    "p1_recall": "select true as several_leaves, true as recall_reached",
     "p5_links": _P5 + " select * from l",
     "p5_classes": _P5
     + """, e as (select source_table, rep, count(*) as n_links from (select source_table, class_a as rep from l union all select source_table, class_b from l) group by all)
