@@ -26,22 +26,21 @@ def p2_tables(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("field", "table_path").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_id").alias("n_records"), (F.max("ordinal") + 1).alias("longest"))
 
 
-def p3_read(spark: SparkSession, sf: str, conventions: dict[str, str] | None) -> DataFrame:
+def p3_read(spark: SparkSession, sf: str, beliefs: dict[str, str] | None, strength: float) -> DataFrame:
     posts = table(spark, sf, "posts").select(F.lit("posts").alias("source_table"), "row_id", F.col("account").alias("source"), F.col("timestamp_utc").alias("value"), F.col("account_tz").alias("tz"))
     speeches = table(spark, sf, "speeches").select(F.lit("speeches").alias("source_table"), "row_id", "source", F.col("event_date").alias("value"), F.col("event_tz").alias("tz"))
     both = posts.unionByName(speeches).withColumn("source", F.concat_ws("/", "source_table", "source"))
-    return instants.resolve(both, "value", "tz", "source", conventions)
+    return instants.resolve(both, "value", "tz", "source", beliefs=beliefs, strength=strength)
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    """The instant of every post and speech, under the stated reading of slashed and dotted dates."""
-    return p3_read(spark, sf, instants.STATED).filter("status = 'resolved'").select("source_table", "row_id", "utc_us")
+    """The instant of every post and speech; the stated readings are the prior of the mixtures."""
+    return p3_read(spark, sf, instants.STATED, 20.0).filter("utc_us is not null").select("source_table", "row_id", "utc_us")
 
 
 def p3_status(spark: SparkSession, sf: str) -> DataFrame:
-    """Without stated readings: how many values EM resolves, leaves unresolved or can't read."""
-    got = p3_read(spark, sf, None)
-    return got.groupBy("source_table", F.coalesce("reading", F.lit("none")).alias("reading"), "status").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Without stated readings: how many values are resolved, stand in a fold or gap, stay open or can't be read."""
+    return p3_read(spark, sf, None, 2.0).groupBy("source_table", "status").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,8 +80,7 @@ typed as (select feed, file_no, id, field, path, value::varchar as value, case w
   else (select case when bool_and(x = 'VARCHAR') then 'array of strings' when bool_and(x in ('UBIGINT', 'BIGINT', 'HUGEINT')) then 'array of integers' when bool_and(x = 'OBJECT') then 'array of objects' else 'array' end
     from (select unnest(list_transform(json_extract(value, '$[*]'), lambda e: json_type(e))) as x) where x <> 'NULL') end as type from leaf),
 m as (select feed, file_no, field, path, case when count(distinct type) = 1 then min(type) when bool_and(type in ('integer', 'decimal number')) then 'decimal number' when bool_and(type like 'array%') then 'array' else 'string' end as type from typed group by all)"""
-SQL: dict[str, str] = {
-    "p3_found": r"""
+_INSTANTS = r"""
 with raw as (select 'posts' as source_table, row_id, timestamp_utc as v, account_tz as home from posts union all select 'speeches', row_id, event_date, event_tz from speeches),
 t as (select source_table, row_id, coalesce(home, 'UTC') as home, replace(replace(regexp_replace(regexp_replace(v, '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g'), '^[A-Z][a-z]{2} ([A-Z][a-z]{2} \d\d \d\d:\d\d:\d\d) ([+-]\d{4}) (\d{4})$', '\1 \3 \2'), 'a.m.', 'AM'), 'p.m.', 'PM') as v from raw where v is not null),
 z as (select *, case when contains(v, ':') then regexp_extract(v, '(Z|GMT|UTC|EST|EDT|CST|CDT|MST|MDT|PST|PDT|CET|CEST|[+-]\d\d:?\d\d|[A-Z][a-z]+/[A-Za-z_]+)$') else '' end as zone from t),
@@ -94,8 +92,13 @@ w as (select source_table, row_id, v, zone, coalesce(compact, case when not rege
     when zone[1] in ('+', '-') then (case zone[1] when '-' then -1 else 1 end) * (zone[2:3]::int * 60 + right(zone, 2)::int) end as fixed from b),
 c as (select *, epoch_us(ts) - (epoch_us(ts - interval 6 hours) - epoch_us(timezone(place, ts - interval 6 hours))) as u1, epoch_us(ts) - (epoch_us(ts + interval 6 hours) - epoch_us(timezone(place, ts + interval 6 hours))) as u2 from w),
 r as (select source_table, row_id, case when regexp_full_match(v, '\d{1,13}') and length(v) <> 4 then v::bigint * (case when length(v) <= 10 then 1000000 else 1000 end)
-  when fixed is not null then epoch_us(ts) - fixed::bigint * 60000000 when timezone(place, make_timestamptz(u1)) = ts or timezone(place, make_timestamptz(u2)) <> ts then u1 else u2 end as utc_us from c)
-select source_table, row_id, utc_us from r where utc_us is not null""",
+  when fixed is not null then epoch_us(ts) - fixed::bigint * 60000000 when timezone(place, make_timestamptz(u1)) = ts or timezone(place, make_timestamptz(u2)) <> ts then u1 else u2 end as utc_us,
+    case when (regexp_full_match(v, '\d{1,13}') and length(v) <> 4) or fixed is not null then 'resolved' when ts is null then 'unreadable' when timezone(place, make_timestamptz(u1)) = ts and timezone(place, make_timestamptz(u2)) = ts and u1 <> u2 then 'ambiguous_fold'
+      when timezone(place, make_timestamptz(u1)) <> ts and timezone(place, make_timestamptz(u2)) <> ts then 'skipped' else 'resolved' end as status from c)"""
+SQL: dict[str, str] = {
+    "p3_found": _INSTANTS + " select source_table, row_id, utc_us from r where utc_us is not null",
+    "p3_status": _INSTANTS + """ select source_table, coalesce(status, 'unreadable') as status, count(*) as n_rows from (select a.source_table, case when r.utc_us is null then 'unreadable' else r.status end as status
+  from (select 'posts' as source_table, row_id from posts union all select 'speeches', row_id from speeches) a left join r using (source_table, row_id)) group by all""",
     "p4_union_schema": _MEMBERS + """ select field, path, case when count(distinct type) = 1 then min(type) when bool_and(type in ('integer', 'decimal number')) then 'decimal number' when bool_and(type like 'array%') then 'array' else 'string' end as type, count(*) as files from m group by 1, 2""",
     "p4_found": _MEMBERS + r""",
 files as (select distinct feed, file_no from posts),

@@ -31,7 +31,10 @@ def test_writings(spark):
     assert len(got) == len(CASES)
     for i, (v, z, want) in enumerate(CASES):
         assert got[i].utc_us == (us(want) if want else None), (v, z)
-        assert (got[i].status == "resolved") == bool(want)
+        assert (got[i].status in ("resolved", "ambiguous_fold", "skipped")) == bool(want)
+    by = {v: got[i].status for i, (v, _, _) in enumerate(CASES)}
+    assert by["2013-11-03 01:38:30 America/New_York"] == "ambiguous_fold" and by["2019-03-10 02:30:00"] == "skipped"
+    assert [v for v, x in by.items() if x in ("ambiguous_fold", "skipped")] == ["2013-11-03 01:38:30 America/New_York", "2019-03-10 02:30:00"]
 
 
 def test_em_learns_the_reading_of_each_source(spark):
@@ -48,8 +51,27 @@ def test_empty(spark):
     assert I.resolve(df, "value", None, "source").count() == 0
 
 
+def test_sources_without_evidence_follow_the_others(spark):
+    rows = [("a", f"{m:02d}/{d:02d}/2020") for m in range(1, 13) for d in range(13, 25)] + [("b", "05/06/2020"), (None, "05/06/2020"), ("c", "1443785823"), ("c", "1365062109434"), ("c", "2016-01-01"), ("c", "2013-05-05"), ("d", "25/06/2020")]
+    df = spark.createDataFrame([(i, s, v) for i, (s, v) in enumerate(rows)], "row_id int, source string, value string")
+    got = {(r.source, r.value): (r.utc_us, r.status) for r in I.resolve(df, "value", None, "source").collect()}
+    assert got["b", "05/06/2020"] == got[None, "05/06/2020"] == (us("2020-05-06"), "resolved")
+    assert got["c", "1443785823"] == (1443785823 * 10**6, "resolved") and got["c", "1365062109434"] == (1365062109434 * 1000, "resolved")
+    # A belief of 20 values holds against one value of the source, but not against many.
+    firm = {(r.source, r.value): r.status for r in I.resolve(df, "value", None, "source", beliefs=I.STATED, strength=20.0).collect()}
+    assert firm["d", "25/06/2020"] == "unresolved" and got["d", "25/06/2020"][0] == us("2020-06-25")
+
+
+def test_folds_and_gaps(spark):
+    rows = [("2021-11-07 01:30:00", NY), ("2021-11-07 02:00:00", NY), ("2021-11-07 00:59:59", NY), ("2021-03-14 02:00:00", NY), ("2021-03-14 03:00:00", NY), ("2021-04-04 01:45:00", "Australia/Lord_Howe"), ("2021-04-04 01:15:00", "Australia/Lord_Howe"), ("2021-11-07 01:30:00", "UTC"), ("2021-11-07 01:30:00 EST", NY)]
+    df = spark.createDataFrame([(v, z, "s") for v, z in rows], "value string, tz string, source string")
+    got = {(r.value, r.tz): r.status for r in I.resolve(df, "value", "tz", "source").collect()}
+    marks = ["ambiguous_fold", "resolved", "resolved", "skipped", "resolved", "ambiguous_fold", "resolved", "resolved", "resolved"]
+    assert got == dict(zip(rows, marks, strict=True))
+
+
 def test_fit_keeps_conventions():
     pd = pytest.importorskip("pandas")
-    counts = pd.DataFrame({"writing": ["slashed"] * 2, "mask": [3, 2], "n": [5, 100]})
-    got = I.fit(counts, I.STATED).set_index("mask")
+    counts = pd.DataFrame({"writing": ["slashed"] * 2, "mask": [3, 2], "decade_0": [-1, -1], "decade_1": [-1, -1], "n": [5, 100]})
+    got = I.fit(counts, {"slashed": [1.0, 0.0]}, {-1: 0.1}).set_index("mask")
     assert got.loc[3, "reading"] == "mdy" and got.loc[2, "reading"] is None
