@@ -62,9 +62,17 @@ def p4_unified_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return drift.unified(posts, "metrics_json", schema, ["row_id", "feed", "file_no", "id"])
 
 
+def p4_unified(spark: SparkSession, sf: str) -> DataFrame:
+    """All members of raw_json and metrics_json of all files under the union schema, one row a member (arrays by their length)."""
+    posts = table(spark, sf, "posts")
+    schema = drift.union_schema(materialise(drift.file_members(posts, DRIFT_FIELDS)))
+    rows = drift.unified_rows(posts, DRIFT_FIELDS, schema, "row_id")
+    return rows.select("row_id", "field", "path", "type", "number", F.when(F.col("n").isNull(), F.col("text")).alias("text"), "n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found, "p2_tables": p2_tables, "p3_found": p3_found, "p3_status": p3_status,
-    "p4_found": p4_found, "p4_union_schema": p4_union_schema, "p4_unified_metrics": p4_unified_metrics,
+    "p4_found": p4_found, "p4_union_schema": p4_union_schema, "p4_unified_metrics": p4_unified_metrics, "p4_unified": p4_unified,
 }
 _TREE = r"""
 with raw as (select row_id, 'raw_json' as field, raw_json as s from posts union all select row_id, 'metrics_json', metrics_json from posts union all select row_id, 'media_urls_json', media_urls_json from posts),
@@ -99,6 +107,11 @@ SQL: dict[str, str] = {
     "p3_found": _INSTANTS + " select source_table, row_id, utc_us from r where utc_us is not null",
     "p3_status": _INSTANTS + """ select source_table, coalesce(status, 'unreadable') as status, count(*) as n_rows from (select a.source_table, case when r.utc_us is null then 'unreadable' else r.status end as status
   from (select 'posts' as source_table, row_id from posts union all select 'speeches', row_id from speeches) a left join r using (source_table, row_id)) group by all""",
+    "p4_unified": _MEMBERS.replace("select feed, file_no, id, 'raw_json'", "select row_id, feed, file_no, id, 'raw_json'").replace("select feed, file_no, id, 'metrics_json'", "select row_id, feed, file_no, id, 'metrics_json'").replace("select feed, file_no, ok.id as id,", "select row_id, feed, file_no, ok.id as id,").replace("typed as (select feed,", "typed as (select row_id, feed,")
+    + """, u as (select field, path, case when count(distinct type) = 1 then min(type) when bool_and(type in ('integer', 'decimal number')) then 'decimal number' when bool_and(type like 'array%') then 'array' else 'string' end as type from m group by 1, 2)
+select row_id, field, path, u.type, case when u.type in ('integer', 'decimal number') then value::double end as number,
+  case when u.type not in ('integer', 'decimal number') and typed.type not like 'array%' then case when typed.type = 'string' then (value::json)->>'$' else value end end as text, case when typed.type like 'array%' then json_array_length(value)::int end as n
+from typed join u using (field, path)""",
     "p4_union_schema": _MEMBERS + """ select field, path, case when count(distinct type) = 1 then min(type) when bool_and(type in ('integer', 'decimal number')) then 'decimal number' when bool_and(type like 'array%') then 'array' else 'string' end as type, count(*) as files from m group by 1, 2""",
     "p4_found": _MEMBERS + r""",
 files as (select distinct feed, file_no from posts),

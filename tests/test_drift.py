@@ -49,14 +49,36 @@ def test_types_and_union(spark):
     df = frame(spark, rows)
     u = drift.union_schema(drift.file_members(df, ["raw_json"]))
     types = {r.path: r.type for r in u.collect()}
-    assert types == {"x": drift.DEC, "y": drift.A_OTHER, "z": drift.STR, "X": drift.STR, "w": drift.A_STR, "id": drift.INT}
+    assert types == {"x": drift.DEC, "y": drift.A_OTHER, "z": drift.STR, "X": drift.STR, "w": drift.A_STR, "id": drift.BIG}
     t = drift.unified(df, "raw_json", u, ["feed", "id"]).orderBy("feed", "id").collect()
     # "X" and "x" clash in SQL, and "id" with a kept column: both members stay, under another name.
     assert sorted(r.x_2 for r in t) == [1.0, 1.5, 3.0] and t[0].X == "s"
-    assert "id_2" in t[0].asDict() and t[0].y == ["1"] and [r.z for r in t] == ["true", "no", None]
+    assert [r.id_2 for r in t] == [None, None, "12345678901234567890123"] and t[0].y == ["1"] and [r.z for r in t] == ["true", "no", None]
 
 
 def test_empty(spark):
     df = frame(spark, [])
     assert drift.changes(df, ["raw_json"]).count() == 0
     assert drift.union_schema(drift.file_members(df, ["raw_json"])).count() == 0
+
+
+def test_integers_beyond_64_bits_are_kept(spark):
+    big = 10**20
+    rows = [(1, "f", 0, "x", '{"a": %d, "b": 1, "c": [1, %d], "d": %d}' % (big, -big, big)), (2, "f", 1, "x", '{"a": 5, "b": 2, "c": [3], "d": 0.5}')]
+    df = spark.createDataFrame(rows, "row_id int, feed string, file_no int, id string, j string")
+    schema = drift.union_schema(drift.file_members(df, ["j"]))
+    assert {r.path: r.type for r in schema.collect()} == {"a": "big integer", "b": "integer", "c": "array of big integers", "d": "string"}
+    got = {r.row_id: r for r in drift.unified(df, "j", schema, ["row_id"]).collect()}
+    assert got[1].a == str(big) and got[2].a == "5" and got[1].c == ["1", str(-big)] and got[1].d == str(big) and got[2].d == "0.5" and got[2].b == 2
+    long = {(r.row_id, r.path): (r.type, r.number, r.text, r.n) for r in drift.unified_rows(df, ["j"], schema, "row_id").collect()}
+    assert long[1, "a"] == ("big integer", None, str(big), None) and long[2, "b"] == ("integer", 2.0, None, None) and long[1, "c"][3] == 2
+    # Among the changes both are integers.
+    assert [(r.old_path, r.change) for r in drift.changes(df, ["j"]).collect()] == [("d", "retyped")]
+
+
+def test_more_candidates_than_fit_a_broadcast(spark):
+    rows = [("f", 0, f"p{i}", '{"a": %d, "k": {"x": %d}}' % (i, i + 1)) for i in range(20)] + [("f", 1, f"p{i}", '{"b": %d, "k": {"y": %d}}' % (i, i + 1)) for i in range(20)]
+    df = spark.createDataFrame(rows, "feed string, file_no int, id string, j string")
+    for small in (0, 1000):
+        got = {(r.old_path, r.new_path, r.change) for r in drift.changes(df, ["j"], small=small).collect()}
+        assert got == {("a", "b", "renamed"), ("k.x", "k.y", "renamed")}
