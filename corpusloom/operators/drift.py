@@ -128,7 +128,7 @@ def unified(df: DataFrame, field: str, schema: DataFrame, keep: list[str], limit
                 return x
             if t == DEC:
                 return float(x)
-            if t == STR:
+            if t in (STR, BIG):
                 return as_text(x)
             return x if t == A_INT else [None if y is None else as_text(y) for y in (x if isinstance(x, list) else [x])]
 
