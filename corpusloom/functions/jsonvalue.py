@@ -5,7 +5,15 @@ from __future__ import annotations
 import json
 from typing import Any
 
-INVALID = object()
+
+
+class _Invalid:
+    def __reduce__(self) -> str:
+        # One object in every process, also where a closure carries it.
+        return "INVALID"
+
+
+INVALID = _Invalid()
 
 
 def _no_constant(name: str) -> Any:

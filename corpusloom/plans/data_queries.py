@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,18 @@ def p2_tables(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("field", "table_path").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_id").alias("n_records"), (F.max("ordinal") + 1).alias("longest"))
 
 
+def p2_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Every value of the posts' JSON columns with the element (or the record, $) that it is a member of."""
+    return records.child_members(records.child_records(table(spark, sf, "posts"), "row_id", JSON_FIELDS), "row_id")
+
+
+def p2_flat(spark: SparkSession, sf: str) -> DataFrame:
+    """The flat tables of raw_json: rows, records and columns of each."""
+    tables = records.child_tables(table(spark, sf, "posts"), "row_id", "raw_json")
+    sizes = [t.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_id").alias("n_records")).select(F.lit(n).alias("table_path"), "n_rows", "n_records", F.lit(len(t.columns) - 4).cast("long").alias("n_columns")) for n, t in tables.items()]
+    return functools.reduce(DataFrame.unionByName, sizes)
+
+
 def p3_read(spark: SparkSession, sf: str, beliefs: dict[str, str] | None, strength: float) -> DataFrame:
     posts = table(spark, sf, "posts").select(F.lit("posts").alias("source_table"), "row_id", F.col("account").alias("source"), F.col("timestamp_utc").alias("value"), F.col("account_tz").alias("tz"))
     speeches = table(spark, sf, "speeches").select(F.lit("speeches").alias("source_table"), "row_id", "source", F.col("event_date").alias("value"), F.col("event_tz").alias("tz"))
@@ -71,7 +84,7 @@ def p4_unified(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p2_found": p2_found, "p2_tables": p2_tables, "p3_found": p3_found, "p3_status": p3_status,
+    "p2_found": p2_found, "p2_tables": p2_tables, "p2_values": p2_values, "p2_flat": p2_flat, "p3_found": p3_found, "p3_status": p3_status,
     "p4_found": p4_found, "p4_union_schema": p4_union_schema, "p4_unified_metrics": p4_unified_metrics, "p4_unified": p4_unified,
 }
 _TREE = r"""
@@ -126,6 +139,15 @@ select feed, file_no, field, old_path, new_path, 'renamed' as change from r
 union all select feed, file_no, field, path, '', 'removed' from gone g where not exists (select 1 from r where r.feed = g.feed and r.file_no = g.file_no and r.field = g.field and r.old_path = g.path)
 union all select feed, file_no, field, '', path, 'added' from new w where not exists (select 1 from r where r.feed = w.feed and r.file_no = w.file_no and r.field = w.field and r.new_path = w.path)
 union all select n.feed, n.file_no, n.field, n.path, n.path, 'retyped' from n join o using (feed, file_no, field, path) where n.type <> o.type""",
+    "p2_values": _TREE
+    + r""", s as (select row_id, field, t.fullkey, coalesce(nullif(regexp_extract(t.fullkey, '^(.*\])', 1), ''), '$') as child_path, t.type, t.atom from (select * from v where json_valid(s)) ok, json_tree(ok.s) t where t.type not in ('OBJECT', 'ARRAY', 'NULL'))
+select row_id, field, child_path, substr(fullkey, length(child_path) + 2) as member, case when type in ('UBIGINT', 'BIGINT', 'HUGEINT') then 'integer' when type = 'DOUBLE' then 'decimal number' when type = 'VARCHAR' then 'string' else 'boolean' end as type,
+  case when type not in ('VARCHAR', 'BOOLEAN') then atom::double end as number, case when type = 'VARCHAR' then atom->>'$' when type = 'BOOLEAN' then atom::varchar end as text from s""",
+    "p2_flat": _TREE
+    + r""", s as (select * from (select row_id, field, t.fullkey, coalesce(nullif(regexp_extract(t.fullkey, '^(.*\])', 1), ''), '$') as child_path, t.type from (select * from v where json_valid(s)) ok, json_tree(ok.s) t) where field = 'raw_json'),
+r as (select row_id, '$' as child_path from s where fullkey = '$' and type <> 'NULL' union all select row_id, child_path from e where field = 'raw_json'),
+m as (select distinct regexp_replace(child_path, '\[\d+\]', '[*]', 'g') as table_path, substr(fullkey, length(child_path) + 2) as member from s where type not in ('OBJECT', 'ARRAY', 'NULL'))
+select table_path, count(*) as n_rows, count(distinct row_id) as n_records, (select count(*) from m where m.table_path = x.table_path) as n_columns from (select row_id, regexp_replace(child_path, '\[\d+\]', '[*]', 'g') as table_path from r) x group by 1""",
     "p2_found": _TREE + " select row_id, field, child_path, parent_path from e",
     "p2_tables": _TREE
     + r""" select field, regexp_replace(child_path, '\[\d+\]', '[*]', 'g') as table_path, count(*) as n_rows, count(distinct row_id) as n_records, max(regexp_extract(child_path, '\[(\d+)\]$', 1)::int) + 1 as longest from e group by 1, 2""",

@@ -78,6 +78,29 @@ def test_maps_share_a_node(spark):
 def test_child_tables(spark):
     df = spark.createDataFrame([(1, '{"a":[{"b":[1,2]},{"b":[]}]}')], "row_id long, raw string")
     t = records.child_tables(df, "row_id", "raw")
-    assert set(t) == {"$.a[*]", "$.a[*].b[*]"}
+    assert set(t) == {"$", "$.a[*]", "$.a[*].b[*]"}
     parents = {r.child_path for r in t["$.a[*]"].collect()}
     assert {r.parent_path for r in t["$.a[*].b[*]"].collect()} <= parents
+
+
+def test_flat_tables_hold_the_values(spark):
+    rows = [(1, '{"a": 1, "u": {"name": "x", "b": [{"k": 1, "v": "hello", "c": [true, null, "t"]}, {"k": 2.5, "w": {"z": false}}]}, "child_path": "own"}'), (2, '{"a": "text", "u": {"b": []}}'), (3, "[7, 8]"), (4, "{broken"), (5, None), (6, "null")]
+    df = spark.createDataFrame(rows, "row_id long, j string")
+    t = records.child_tables(df, "row_id", "j")
+    assert sorted(t) == ["$", "$.u.b[*]", "$.u.b[*].c[*]", "$[*]"]
+    root = {r.row_id: r for r in t["$"].collect()}
+    assert sorted(root) == [1, 2, 3] and (root[1].a, root[1].u__name, root[1].child_path_2) == ("1", "x", "own") and root[2].a == "text"
+    b = {r.child_path: r for r in t["$.u.b[*]"].collect()}
+    assert [(r.k, r.v, r.w__z, r.parent_path, r.ordinal) for _, r in sorted(b.items())] == [(1.0, "hello", None, "$", 0), (2.5, None, False, "$", 1)]
+    assert [(r.child_path, r.parent_path, r.ordinal, r.value) for r in t["$.u.b[*].c[*]"].collect()] == [("$.u.b[0].c[0]", "$.u.b[0]", 0, "true"), ("$.u.b[0].c[2]", "$.u.b[0]", 2, "t")]
+    assert sorted(r.value for r in t["$[*]"].collect()) == [7, 8]
+
+
+def test_maps_are_folded_before_they_reach_the_driver(spark):
+    rows = [(i, '{"by_id": {"k%d": {"n": %d, "tags": ["t"]}}, "x": 1}' % (i, i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id long, j string").repartition(4)
+    tree = records.infer_schema(df, ["j"], map_width=10, typed=True)["j"]
+    assert list(tree[".by_id"]) == ["*"] and tree[".x"] == {"=": {"integer": {}}}
+    t = records.child_tables(df, "row_id", "j", map_width=10)
+    assert sorted(t) == ["$", "$.by_id.*.tags[*]"] and t["$.by_id.*.tags[*]"].count() == 60
+    assert {r.row_id: dict(r.others) for r in t["$"].collect()} == {i: {f"by_id.k{i}.n": str(i)} for i in range(60)}
