@@ -33,10 +33,10 @@ def p2_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_flat(spark: SparkSession, sf: str) -> DataFrame:
-    """The flat tables of raw_json: rows, records and columns of each."""
+    """The flat tables of raw_json that have rows: rows, records and columns of each."""
     tables = records.child_tables(table(spark, sf, "posts"), "row_id", "raw_json")
     sizes = [t.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_id").alias("n_records")).select(F.lit(n).alias("table_path"), "n_rows", "n_records", F.lit(len(t.columns) - 4).cast("long").alias("n_columns")) for n, t in tables.items()]
-    return functools.reduce(DataFrame.unionByName, sizes)
+    return functools.reduce(DataFrame.unionByName, sizes).filter("n_rows > 0")
 
 
 def p3_read(spark: SparkSession, sf: str, beliefs: dict[str, str] | None, strength: float) -> DataFrame:
@@ -144,8 +144,9 @@ union all select n.feed, n.file_no, n.field, n.path, n.path, 'retyped' from n jo
 select row_id, field, child_path, substr(fullkey, length(child_path) + 2) as member, case when type in ('UBIGINT', 'BIGINT', 'HUGEINT') then 'integer' when type = 'DOUBLE' then 'decimal number' when type = 'VARCHAR' then 'string' else 'boolean' end as type,
   case when type not in ('VARCHAR', 'BOOLEAN') then atom::double end as number, case when type = 'VARCHAR' then atom->>'$' when type = 'BOOLEAN' then atom::varchar end as text from s""",
     "p2_flat": _TREE
-    + r""", s as (select * from (select row_id, field, t.fullkey, coalesce(nullif(regexp_extract(t.fullkey, '^(.*\])', 1), ''), '$') as child_path, t.type from (select * from v where json_valid(s)) ok, json_tree(ok.s) t) where field = 'raw_json'),
-r as (select row_id, '$' as child_path from s where fullkey = '$' and type <> 'NULL' union all select row_id, child_path from e where field = 'raw_json'),
+    + r""", ok as materialized (select row_id, s from v where field = 'raw_json' and json_valid(s)),
+s as (select row_id, t.fullkey, coalesce(nullif(regexp_extract(t.fullkey, '^(.*\])', 1), ''), '$') as child_path, t.type from ok, json_tree(ok.s) t),
+r as (select row_id, '$' as child_path from s where fullkey = '$' and type <> 'NULL' union all select row_id, fullkey from s where fullkey like '%]' and type <> 'NULL'),
 m as (select distinct regexp_replace(child_path, '\[\d+\]', '[*]', 'g') as table_path, substr(fullkey, length(child_path) + 2) as member from s where type not in ('OBJECT', 'ARRAY', 'NULL'))
 select table_path, count(*) as n_rows, count(distinct row_id) as n_records, (select count(*) from m where m.table_path = x.table_path) as n_columns from (select row_id, regexp_replace(child_path, '\[\d+\]', '[*]', 'g') as table_path from r) x group by 1""",
     "p2_found": _TREE + " select row_id, field, child_path, parent_path from e",
