@@ -1,8 +1,8 @@
-"""Distinctive terms (TF-IDF by period) and lexicon sentiment."""
+"""Distinctive terms (TF-IDF by period)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
@@ -32,15 +32,3 @@ def tfidf(df: DataFrame, doc: str, text: str, order: str, stop: list[str] = (),
     scored = w.withColumn("score", F.round(F.col("w") / length, 6))
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("doc").orderBy(F.desc("score"), "term")))
     return ranked.filter((F.col("rank") <= top) & (F.col("score") > 0)).select("doc", "term", "n", "score", "rank")
-
-
-def lexicon_score(text: Column, lexicon: dict[str, float], alpha: float = 15.0) -> Column:
-    """Sum of word valences s as s / sqrt(s * s + alpha), within -1 and 1.
-
-    The lexicon is a small constant map, so scoring stays in one projection.
-    """
-    found = F.regexp_extract_all(F.lower(text), F.lit("([a-z']+)"), F.lit(1))
-    total = F.lit(0.0)
-    for word, v in lexicon.items():
-        total = total + F.size(found) * F.lit(float(v)) - F.size(F.array_remove(found, word)) * F.lit(float(v))
-    return total / F.sqrt(total * total + alpha)

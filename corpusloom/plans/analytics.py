@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions import stats, timeparts
+from corpusloom.functions import sentiment, stats, timeparts
 from corpusloom.functions import text as T
 from corpusloom.operators import ordered, rules, terms, upsert, vectors
 from corpusloom.plans.registry import Registry
@@ -244,20 +244,62 @@ def a14_style_by_month(spark: SparkSession, sf: str) -> DataFrame:
     return g.filter("n >= 5").select("month", "n", "caps", "excl", "caps_p90", "excl_p90")
 
 
-_LEXICON = {"great": 3.1, "honest": 2.3, "proud": 2.1, "friend": 2.2, "praise": 2.6, "hated": -3.2, "losing": -1.6, "failing": -2.3, "broken": -2.1, "crooked": -2.5, "disputed": -1.7, "beloved": 2.3}
-_SUM = " + ".join(f"len(list_filter(ws, lambda x: x = '{w}')) * {v}::double" for w, v in _LEXICON.items())
-_SENT = f"""(select *, s / sqrt(s * s + 15) as score from (select *, {_SUM} as s from (select *, regexp_extract_all(lower(text), '[a-z'']+') as ws from {_L} where length(text) >= 10)))"""
-
-
-@R.add(f"""select strftime(l, '%Y-%m') as month, count(*) as n, round(avg(score), 4) as mean from {_SENT} group by 1 having count(*) >= 5""")
+# The lexicon of the queries: words and valences chosen for texts like those of the tables.
+_LEXICON = {
+    "abandon": -1.8, "applaud": 2.0, "badly": -1.9, "beloved": 2.3, "bitter": -1.8, "brilliant": 2.8, "broken": -2.1, "careful": 0.9, "careless": -1.7, "celebrate": 2.6,
+    "cheap": -0.8, "complaints": -1.6, "conceal": -1.3, "costly": -1.2, "crooked": -2.5, "crowded": -0.6, "dangerous": -2.2, "defend": 0.8, "delay": -1.1, "denounce": -1.7,
+    "disputed": -1.7, "empty": -0.8, "endless": -0.7, "failing": -2.3, "fairly": 1.0, "famous": 1.7, "forgotten": -0.9, "fragile": -0.8, "friend": 2.2, "furious": -2.7,
+    "generous": 2.3, "gilded": 0.6, "gladly": 1.9, "great": 3.1, "harmless": 1.0, "hated": -3.2, "hollow": -1.2, "honest": 2.3, "honestly": 1.5, "honor": 2.2,
+    "humble": 1.2, "ignore": -1.5, "insure": 0.6, "lawful": 1.1, "lazy": -1.5, "losing": -1.6, "loyal": 2.1, "mock": -1.8, "noisy": -0.9, "patient": 1.1,
+    "polished": 1.1, "praise": 2.6, "protect": 1.6, "proud": 2.1, "proudly": 1.9, "punish": -2.4, "reckless": -2.0, "refund": 0.4, "reject": -1.7, "repair": 0.7,
+    "rescue": 2.3, "restore": 1.2, "reward": 2.7, "rotten": -2.3, "sacred": 1.8, "shaky": -1.0, "sloppy": -1.5, "splendid": 2.8, "steady": 0.9, "strange": -0.8,
+    "stubborn": -1.2, "sturdy": 1.0, "suspend": -1.2, "thrifty": 0.9, "unfair": -2.1, "uphold": 0.9, "wasteful": -1.9, "winning": 2.4, "wrongly": -1.8,
+}
+_VALUES = lambda d: ", ".join(f"('{w}', {v}::double)" for w, v in d.items())
+_WORDS = lambda ws: ", ".join(f"'{w}'" for w in ws)
+_STRIP = r"""regexp_replace(t, '^[!-/:-@\x5b-`{-~]+|[!-/:-@\x5b-`{-~]+$', '', 'g')"""
+
+
+def _degree(k: int) -> str:
+    """The valence after the word at distance ``k``: degree, then negation."""
+    p, before = f"p{k}", f"v{k - 1}"
+    degree = f"case when {before} > 0 then 1 else -1 end * ({p}.b + case when mixed and {p}.c then 0.733 else 0 end) * {(1.0, 0.95, 0.9)[k - 1]}"
+    return f"case when {p}.x then {before} else ({before} + case when {p}.b <> 0 then {degree} else 0 end) * case when {p}.n then -0.74 else 1 end end"
+
+
+_SENT = f"""(
+with lex(w, v) as (values {_VALUES(_LEXICON)}), boost(w, b) as (values {_VALUES(sentiment.BOOSTERS)}),
+raw as (select doc_id, unnest(ts) as t, generate_subscripts(ts, 1) as i from (select doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\r\f\v]+'), lambda x: x <> '') as ts from documents where text is not null)),
+bare as (select doc_id, i, case when length({_STRIP}) > 2 then {_STRIP} else t end as t from raw),
+tok as (select doc_id, i, lower(t) as w, regexp_full_match(t, '[^a-z]*[A-Z][^a-z]*') as c from bare),
+doc as (select doc_id, count(*) filter (c) between 1 and count(*) - 1 as mixed, min(i) filter (w = 'but') as but from tok group by 1),
+att as (select doc_id, i, w, c, lex.v, lex.v is not null as x, coalesce(b, 0) as b, w in ({_WORDS(sentiment.NEGATIONS)}) or ends_with(w, 'n''t') as n from tok left join lex using (w) left join boost using (w)),
+lagged as (select doc_id, i, c, v, lag(att, 1) over o as p1, lag(att, 2) over o as p2, lag(att, 3) over o as p3 from att window o as (partition by doc_id order by i)),
+s0 as (select doc_id, i, mixed, but, case when p1 is null then {{'x': true, 'b': 0::double, 'n': false, 'c': false}} else {{'x': p1.x, 'b': p1.b, 'n': p1.n, 'c': p1.c}} end as p1, case when p2 is null then {{'x': true, 'b': 0::double, 'n': false, 'c': false}} else {{'x': p2.x, 'b': p2.b, 'n': p2.n, 'c': p2.c}} end as p2,
+  case when p3 is null then {{'x': true, 'b': 0::double, 'n': false, 'c': false}} else {{'x': p3.x, 'b': p3.b, 'n': p3.n, 'c': p3.c}} end as p3, v + case when mixed and c then case when v > 0 then 0.733 else -0.733 end else 0 end as v0 from lagged join doc using (doc_id) where v is not null),
+s1 as (select *, {_degree(1)} as v1 from s0), s2 as (select *, {_degree(2)} as v2 from s1), s3 as (select *, {_degree(3)} as v3 from s2),
+summed as (select doc_id, sum(v3 * case when but is null or i = but then 1 when i < but then 0.5 else 1.5 end) as s from s3 group by 1),
+pushed as (select d.doc_id, coalesce(s, 0) as s, least(length(text) - length(replace(text, '!', '')), 4) * 0.292::double as e, length(text) - length(replace(text, '?', '')) as q from documents d left join summed using (doc_id) where text is not null),
+total as (select doc_id, s + sign(round(s, 9)) * (e + case when q < 2 then 0 when q < 4 then q * 0.18::double else 0.96 end) as s from pushed)
+select doc_id, round(s / sqrt(s * s + 15), 4) as compound from total)"""
+_SCORED = f"(select * from {_L} join {_SENT} using (doc_id) where length(text) >= 10)"
+
+
+@R.add(f"select doc_id, compound from {_SENT}")
+def n06_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    """The compound sentiment of every document."""
+    return _docs(spark, sf).filter("text is not null").select("doc_id", sentiment.sentiment(F.col("text"), _LEXICON).alias("compound"))
+
+
+@R.add(f"""select strftime(l, '%Y-%m') as month, count(*) as n, round(avg(compound), 4) as mean from {_SCORED} group by 1 having count(*) >= 5""")
 def a15_sentiment_by_month(spark: SparkSession, sf: str) -> DataFrame:
-    d = _local_docs(spark, sf).filter(F.length("text") >= 10).select("month", terms.lexicon_score(F.col("text"), _LEXICON).alias("s"))
+    d = _local_docs(spark, sf).filter(F.length("text") >= 10).select("month", sentiment.sentiment(F.col("text"), _LEXICON).alias("s"))
     return d.groupBy("month").agg(F.count("*").alias("n"), F.round(F.avg("s"), 4).alias("mean")).filter("n >= 5")
 
 
-@R.add(f"""select kind, strftime(l, '%Y-%m') as month, count(*) as n, round(avg(score), 4) as mean from {_SENT} group by 1, 2 having count(*) >= 5""")
+@R.add(f"""select kind, strftime(l, '%Y-%m') as month, count(*) as n, round(avg(compound), 4) as mean from {_SCORED} group by 1, 2 having count(*) >= 5""")
 def a15_sentiment_by_kind(spark: SparkSession, sf: str) -> DataFrame:
-    d = _local_docs(spark, sf).filter(F.length("text") >= 10).select("kind", "month", terms.lexicon_score(F.col("text"), _LEXICON).alias("s"))
+    d = _local_docs(spark, sf).filter(F.length("text") >= 10).select("kind", "month", sentiment.sentiment(F.col("text"), _LEXICON).alias("s"))
     return d.groupBy("kind", "month").agg(F.count("*").alias("n"), F.round(F.avg("s"), 4).alias("mean")).filter("n >= 5")
 
 
