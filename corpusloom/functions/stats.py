@@ -36,6 +36,22 @@ def exclusive_decile_by(df: DataFrame, by: list[str], value: str, k: int = 9, na
     return g.withColumn(name, F.when(F.col("n") >= 2, (F.col("_x") * (10 - d) + F.col("_y") * d) / 10)).select(*by, "n", "top", name)
 
 
+def quantiles_by(df: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """(by, n, mean, the names of ``shares``): quantiles interpolated between the order statistics around share (n - 1).
+
+    As in ``exclusive_decile_by`` equal values are counted first and the counts run through in order.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
+    n = counts.groupBy(*by).agg(F.sum("_c").alias("n"), (F.sum(F.col(value) * F.col("_c")) / F.sum("_c")).alias("mean"))
+    seen = F.sum("_c").over(Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    r = counts.withColumn("_seen", seen).join(n, by)
+    at = {k: F.lit(p) * (F.col("n") - 1) for k, p in shares.items()}
+    first = lambda place: F.min(F.when(F.col("_seen") > place, F.col(value)))
+    ends = [x for k in shares for x in (first(F.floor(at[k])).alias(f"_low_{k}"), first(F.ceil(at[k])).alias(f"_high_{k}"))]
+    g = r.groupBy(*by, "n", "mean").agg(*ends)
+    return g.select(*by, "n", "mean", *[(F.col(f"_low_{k}") + (at[k] - F.floor(at[k])) * (F.col(f"_high_{k}") - F.col(f"_low_{k}"))).alias(k) for k in shares])
+
+
 def zscore_within(df: DataFrame, value: str, by: list[str], name: str = "z") -> DataFrame:
     """Population z-score of ``value`` within groups; a deviation of 0 counts as 1."""
     w = Window.partitionBy(*by)

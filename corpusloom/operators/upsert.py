@@ -11,10 +11,10 @@ def keep_first(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter("_r = 1").drop("_r")
 
 
-def upsert(target: DataFrame, updates: DataFrame, key: list[str], update: list[str], keep: list[str] = ()) -> DataFrame:
+def upsert(target: DataFrame, updates: DataFrame, key: list[str], update: list[str], keep: list[str] = (), add: list[str] = ()) -> DataFrame:
     """Insert new keys; on known keys take ``update`` columns from ``updates`` and leave the rest.
 
-    Columns in ``keep`` take the existing value and only fill nulls.  ``updates`` must have
+    Columns in ``keep`` take the existing value and only fill nulls, those in ``add`` are summed.  ``updates`` must have
     one row per key (see ``keep_first``).
     """
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("t_in"))
@@ -27,6 +27,8 @@ def upsert(target: DataFrame, updates: DataFrame, key: list[str], update: list[s
             v = F.coalesce(f"t_{c}", f"u_{c}")
         elif c in update:
             v = F.when(F.col("u_in"), F.col(f"u_{c}")).otherwise(F.col(f"t_{c}"))
+        elif c in add:
+            v = F.coalesce(F.col(f"t_{c}"), F.lit(0)) + F.coalesce(F.col(f"u_{c}"), F.lit(0))
         elif c in keep:
             v = F.when(F.col("t_in"), F.coalesce(f"t_{c}", f"u_{c}")).otherwise(F.col(f"u_{c}"))
         else:

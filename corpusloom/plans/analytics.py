@@ -121,12 +121,13 @@ def j14_nearest_year(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @R.add("""
-with b as (select user_id, count(*) as v from events where event_id % 2 = 0 group by 1), a as (select user_id, count(*) as v from events where event_id % 3 = 0 group by 1)
+with b as (select user_id, count(*) as v from events where ts < timestamp '2024-01-16' group by 1), a as (select user_id, count(*) as v from events group by 1)
 select user_id, coalesce(b.v, 0) as before, coalesce(a.v, 0) as after, coalesce(a.v, 0) - coalesce(b.v, 0) as delta from b full join a using (user_id)""")
 def j15_snapshot_delta(spark: SparkSession, sf: str) -> DataFrame:
+    """Two states of one table: before a date, and all of it."""
     e = table(spark, sf, "events")
-    count = lambda k: e.filter(F.col("event_id") % k == 0).groupBy("user_id").agg(F.count("*").alias("v"))
-    return upsert.snapshot_delta(count(2), count(3), ["user_id"], "v")
+    count = lambda rows: rows.groupBy("user_id").agg(F.count("*").alias("v"))
+    return upsert.snapshot_delta(count(e.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))), count(e), ["user_id"], "v")
 
 
 @R.add("""
@@ -333,8 +334,9 @@ def a22_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add(f"""select theme, count(*) as n, round(avg(s), 6) as mean, round(quantile_cont(s, 0.25), 6) as p25, round(quantile_cont(s, 0.5), 6) as p50, round(quantile_cont(s, 0.75), 6) as p75 from {_SCORE} group by 1""")
 def a23_quartiles(spark: SparkSession, sf: str) -> DataFrame:
-    q = [F.round(F.percentile("s", p), 6).alias(f"p{int(p * 100)}") for p in (0.25, 0.5, 0.75)]
-    return _scores(spark, sf).groupBy("theme").agg(F.count("*").alias("n"), F.round(F.avg("s"), 6).alias("mean"), *q)
+    names = {f"p{int(p * 100)}": p for p in (0.25, 0.5, 0.75)}
+    got = stats.quantiles_by(_scores(spark, sf), ["theme"], "s", names)
+    return got.select("theme", "n", *[F.round(c, 6).alias(c) for c in ("mean", *names)])
 
 
 @R.add("""
@@ -522,7 +524,7 @@ def x05_constant_rows(spark: SparkSession, sf: str) -> DataFrame:
 _RULES = [
     rules.Rule(r"\bgreat [a-z]+ news\b", "news", "good"), rules.Rule(r"\bcrooked\b", "crook", "bad"), rules.Rule(r"\bfailing [a-z]+", "failure", "bad"),
     rules.Rule(r"\bbroken [a-z]+", "failure", "bad"), rules.Rule(r"\b(?:proud|honest) [a-z]+", "virtue", "good"), rules.Rule(r"\bmy [a-z]+ friend\b", "friend", "good"),
-    rules.Rule(r"\bcrowns\b", "money", "good"), rules.Rule(r"\bhated [a-z]+", "hate", "bad"), rules.Rule(r"\bproud\b", "pride", "good"),
+    rules.Rule(r"\bcrowns\b", "money", "good"), rules.Rule(r"\bhated [a-z]+", "hate", "bad"), rules.Rule(r"\bproud\b", "pride", "good"), rules.Rule(r"\bcrooked\b", "villain", "bad"),
 ]
 _CASES = " union all ".join(f"select doc_id, {i} as o, '{r.target}' as target, '{r.polarity}' as polarity, regexp_extract(text, '(?i)({r.pattern})', 1) as surface from documents" for i, r in enumerate(_RULES))
 _HITS = f"(select doc_id, target, polarity, min_by(surface, o) as surface from ({_CASES}) where surface <> '' group by 1, 2, 3)"
@@ -566,7 +568,11 @@ def a17_top_surfaces(spark: SparkSession, sf: str) -> DataFrame:
     return stats.top_per_group(c, ["target"], [F.desc("n"), F.col("surface")], 6).select("target", "surface", "n")
 
 
-_STOP = ["the", "and", "for", "that", "will", "was", "with", "from", "who", "our", "their", "after", "years"]
+_STOP = """
+the and for that will was with from who our their after years are but not you all any can had her his him how its may nor now off one out own per say she too two
+use via way yet they them then this what when while also been before being both could did does each else ever every few have here into just less like made many
+might more most much must near only other over same should since some such than there these those through under until upon very were where which whose why without would your
+""".split()
 _STOPSQL = ", ".join(f"'{w}'" for w in _STOP)
 
 
@@ -582,7 +588,7 @@ def n04_bigrams_top(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @R.add(f"""
-with d as (select year(published_at at time zone 'UTC') as doc, doc_id, regexp_replace(text, 'https?://[^ \\t\\n\\r\\f\\v]+', '', 'g') as text from documents where published_at is not null and text is not null),
+with d as (select year(l) as doc, doc_id, regexp_replace(text, 'https?://[^ \\t\\n\\r\\f\\v]+', '', 'g') as text from {_L} where text is not null),
 big as (select doc from d group by 1 having count(*) >= 5),
 w as (select doc, doc_id, [x for x in list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z'']{{2,}}'), lambda t: lower(t)) if x not in ({_STOPSQL})] as ws from d where doc in (select doc from big)),
 all_w as (select doc, list_reduce(list(ws order by doc_id), lambda a, b: list_concat(a, b)) as ws from w group by 1),
@@ -593,7 +599,8 @@ x as (select tf.doc, tf.term, n, (1 + ln(n)) * (ln((1 + big_n)::double / (1 + df
 s as (select doc, term, n, round(w / sqrt(sum(w * w) over (partition by doc)), 6) as score from x)
 select doc, term, n, score, rank from (select *, row_number() over (partition by doc order by score desc, term) as rank from s) where rank <= 15 and score > 0""")
 def n05_tfidf(spark: SparkSession, sf: str) -> DataFrame:
-    d = _docs(spark, sf).filter("published_at is not null and text is not null").select(F.year("published_at").alias("doc"), "doc_id", "text")
+    """The most distinctive terms of each local year."""
+    d = _local_docs(spark, sf).filter("text is not null").select(F.substring("month", 1, 4).cast("int").alias("doc"), "doc_id", "text")
     return terms.tfidf(d, "doc", "text", "doc_id", stop=_STOP, least_rows=5, word="([A-Za-z][A-Za-z']{2,})")
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import analytics, data_queries, expressions, ingest, more
+from corpusloom.plans import analytics, data_queries, deeper, expressions, ingest, more
 
-_MODULES = [data_queries, expressions, analytics, ingest, more]
+_MODULES = [data_queries, expressions, analytics, ingest, more, deeper]
 
 
 #: Columns that are 32-bit in Spark where SQL's functions give 64 bits.

@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[str] = []
+_tables: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +59,7 @@ def materialise_bucketed(df: DataFrame, column: str) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.option("compression", "zstd").option("path", path).format("parquet").bucketBy(n, column).saveAsTable(name)
     _written.append(path)
+    _tables.append(name)
     return spark.table(name)
 
 
@@ -66,6 +68,8 @@ def release(spark: SparkSession) -> int:
 
     Call it once no DataFrame built on them is needed any more.
     """
+    while _tables:
+        spark.sql(f"drop table if exists {_tables.pop()}")
     jvm, n = spark.sparkContext._jvm, 0
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     while _written:

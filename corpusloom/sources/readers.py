@@ -93,8 +93,11 @@ def _contains(needle: str) -> Callable[[Column], Column]:
     return lambda c: F.lower(c).contains(needle)
 
 
-def html_table(df: DataFrame, html: str, columns: dict[str, str]) -> DataFrame:
-    """Cells of HTML tables as columns, located by a part of their header cell (lower case)."""
+def html_table(df: DataFrame, html: str, columns: dict[str, str], row: str | None = None) -> DataFrame:
+    """Cells of HTML tables as columns, located by a part of their header cell (lower case).
+
+    ``row``: a further column with all cells of the row, for what its column doesn't hold.
+    """
     cells = lambda row: F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<t[hd][^>]*>(.*?)</t[hd]>"), F.lit(1)), lambda c: T.collapse(F.regexp_replace(c, "<[^>]+>", " ")))
     rows = F.transform(F.regexp_extract_all(F.col(html), F.lit(r"(?is)(<tr.*?</tr>)"), F.lit(1)), cells)
     t = df.withColumn("_rows", rows)
@@ -103,7 +106,15 @@ def html_table(df: DataFrame, html: str, columns: dict[str, str]) -> DataFrame:
     t = t.withColumn("_head", F.get(F.filter("_rows", is_head), F.lit(0)))
     at = {n: F.array_position(F.transform("_head", _contains(w)), True) for n, w in columns.items()}
     each = t.withColumns({f"_at_{n}": p for n, p in at.items()}).select("*", F.explode("_rows").alias("_r")).filter(~F.col("_r").eqNullSafe(F.col("_head")) & F.col("_head").isNotNull())
-    return each.select(*df.columns, *[F.get("_r", F.col(f"_at_{n}").cast("int") - 1).alias(n) for n in columns]).drop(html)
+    whole = [F.array_join("_r", " | ").alias(row)] if row else []
+    return each.select(*df.columns, *[F.get("_r", F.col(f"_at_{n}").cast("int") - 1).alias(n) for n in columns], *whole).drop(html)
+
+
+def month_name_date(*texts: Column) -> Column:
+    """The date of the first of ``texts`` that holds one like ``March 5, 2020``; null where none does."""
+    named = "(January|February|March|April|May|June|July|August|September|October|November|December)"
+    found = lambda t: F.regexp_extract(t, named + r" (\d{1,2}),? (\d{4})", 0)
+    return F.coalesce(*[F.try_to_date(F.replace(found(t), F.lit(","), F.lit("")), "MMMM d yyyy") for t in texts])
 
 
 def links(text: Column) -> Column:
@@ -119,6 +130,19 @@ def two_stage_lookup(df: DataFrame, key: Column, first: DataFrame, second: DataF
     return j.withColumn(value, F.coalesce("_v1", "_v2")).drop("_key", "_k1", "_k2", "_v1", "_v2")
 
 
+def cached_lookup(keys: DataFrame, cache: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Look up ``keys`` (k) in ``cache`` (k, v), the missing ones only in ``source`` (k, v).
+
+    Gives (k, v, cached) and the grown cache, which holds keys that ``source`` lacks as well, with null, so that they
+    aren't looked up again.
+    """
+    known = keys.join(cache.select("k", "v", F.lit(True).alias("cached")), "k", "left")
+    hits = known.filter("cached").select("k", "v", "cached")
+    asked = known.filter("cached is null").select("k").join(source.select("k", "v"), "k", "left")
+    found = hits.unionByName(asked.withColumn("cached", F.lit(False)))
+    return found, cache.select("k", "v").unionByName(asked)
+
+
 def split_intervals(df: DataFrame, start: str, end: str, longest: float, shortest: float) -> DataFrame:
     """Intervals cut into pieces of at most ``longest``; pieces below ``shortest`` are dropped."""
     n = F.ceil((F.col(end) - F.col(start)) / longest).cast("int")

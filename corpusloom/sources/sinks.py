@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -39,3 +39,15 @@ def vectors(df: DataFrame, key: str, vector: str, path: str) -> None:
 
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
+
+
+def merge_manifest(spark: SparkSession, path: str, entries: DataFrame, key: str) -> None:
+    """Add the ``entries`` whose key a stored manifest lacks; those that it has stand.
+
+    New entries are appended as files of their own, so a run that breaks off leaves the stored ones untouched.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        done = spark.read.schema(entries.schema).parquet(path).select(key).distinct()
+        entries = entries.join(done, key, "left_anti")
+    entries.write.mode("append").parquet(path)
