@@ -130,45 +130,50 @@ class Index:
         read = int((most > 0).sum())
         found_w, found_d = [], []
         while len(rows):
-            order = np.argsort(doc, axis=1, kind="stable")
-            bound = np.cumsum(np.take_along_axis(most, order, 1) * (np.take_along_axis(doc, order, 1) < self.n), axis=1)
+            order = np.argsort(doc, axis=1)
+            by = np.take_along_axis(doc, order, 1)
+            # Lists at their end stand at item n and add nothing.
+            bound = np.cumsum(np.take_along_axis(most, order, 1) * (by < self.n), axis=1)
             live = bound[:, -1] >= _LEAST
-            if not live.all():
+            if (n_live := int(live.sum())) < 0.8 * len(rows) or not n_live:
                 # No pivot: these windows are finished.
-                rows, terms, doc, most, cursor, order, bound = (x[live] for x in (rows, terms, doc, most, cursor, order, bound))
-                if not len(rows):
+                rows, terms, doc, most, cursor, bound, by = (x[live] for x in (rows, terms, doc, most, cursor, bound, by))
+                live = live[live]
+                if not n_live:
                     break
             p = (bound >= _LEAST).argmax(axis=1)
-            by = np.take_along_axis(doc, order, 1)
-            pivot = by[np.arange(len(rows)), p]
+            # Windows that are finished but not yet taken out stand still: their pivot lies before all items.
+            pivot = np.where(live, by[np.arange(len(rows)), p], -1)
             upto = doc <= pivot[:, None]
             # Block maxima of the lists that reach the pivot, looked up where the term has any posting in the block.
-            r, c = np.nonzero(upto)
-            block, here = pivot[r] // self.block, doc[r, c] // self.block
-            best = self.blockmax[self.block_of[cursor[r, c]]]
+            at = np.flatnonzero(upto)
+            r = at // upto.shape[1]
+            block, here = pivot[r] // self.block, doc.ravel()[at] // self.block
+            best = self.blockmax[self.block_of[cursor.ravel()[at]]]
             if (far := np.flatnonzero(here < block)).size:
-                key = terms[r[far], c[far]] * n1 + block[far]
-                at = np.searchsorted(self.blocks, key)
-                best[far] = np.where(self.blocks[at] == key, self.blockmax[at], 0.0)
-            block_bound = np.bincount(r, weights=best, minlength=len(rows))
-            can = block_bound >= _LEAST
+                key = terms.ravel()[at[far]] * n1 + block[far]
+                m = np.searchsorted(self.blocks, key)
+                best[far] = np.where(self.blocks[m] == key, self.blockmax[m], 0.0)
+            can = np.bincount(r, weights=best, minlength=len(rows)) >= _LEAST
             there = can & (by[:, 0] == pivot)
-            if there.any():
-                score = np.where(doc == pivot[:, None], self.weight[cursor], 0.0).sum(axis=1)
-                hit = there & (score >= _LEAST)
+            if (scored := np.flatnonzero(there)).size:
+                score = np.where(doc[scored] == pivot[scored, None], self.weight[cursor[scored]], 0.0).sum(axis=1)
+                hit = scored[score >= _LEAST]
                 found_w.append(rows[hit])
                 found_d.append(pivot[hit])
             # Where to go: past the block (but no further than the first list behind the pivot), past the pivot, or to it.
             behind = np.where(upto, self.n, doc).min(axis=1)
             target = np.where(~can, np.minimum((pivot // self.block + 1) * self.block, behind), np.where(there, pivot + 1, pivot))
-            r, c = np.nonzero(doc < np.minimum(target, self.n)[:, None])
-            t = terms[r, c] * n1
-            goal, to = t + np.minimum(target, self.n)[r], cursor[r, c] + 1
+            target = np.where(live, np.minimum(target, self.n), -1)
+            at = np.flatnonzero(doc < target[:, None])
+            t = terms.ravel()[at] * n1
+            goal, to = t + target[at // upto.shape[1]], cursor.ravel()[at] + 1
             if (far := np.flatnonzero(self.keys[to] < goal)).size:
                 to[far] = np.searchsorted(self.keys, goal[far])
-            cursor[r, c] = to
-            doc[r, c] = self.keys[to] - t
-            read += int((doc[r, c] < self.n).sum())
+            to_doc = self.keys[to] - t
+            # Both are contiguous, so this writes into them.
+            cursor.reshape(-1)[at], doc.reshape(-1)[at] = to, to_doc
+            read += int((to_doc < self.n).sum())
         join = lambda x: np.concatenate([*x, np.empty(0, np.int64)])
         return join(found_w), join(found_d), read
 
