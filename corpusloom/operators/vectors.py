@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +34,21 @@ def centroids(df: DataFrame, label: str, vector: str, eps: float = 1e-9) -> Data
 def similarities(df: DataFrame, key: str, vector: str, labels: DataFrame, digits: int = 6, max_labels: int = 10_000) -> DataFrame:
     """(key, label, score) of every vector against every label of a catalog of centroids.
 
-    The catalog has one row a label; its size is checked before it is sent to the executors, where
-    each Arrow batch is scored by one matrix product.  Vectors that are null, of another length or all
-    zero score 0.
+    The catalog has one row a label.  It is sent to the executors, where each Arrow batch is scored by one matrix
+    product; one of more than ``max_labels`` is divided by a hash of the label, and the vectors are read for each part.
+    Vectors that are null, of another length or all zero score 0.
     """
-    catalog = labels.select("label", F.col("centroid").cast("array<double>").alias("centroid")).orderBy("label").limit(max_labels + 1).collect()
-    if len(catalog) > max_labels:
-        raise ValueError(f"more than {max_labels} labels")
+    catalog = labels.select("label", F.col("centroid").cast("array<double>").alias("centroid")).orderBy("label")
+    rows = catalog.limit(max_labels + 1).collect()
+    if len(rows) <= max_labels:
+        return _scored(df, key, vector, labels, rows, digits)
+    # On average half of what is allowed, so that no part exceeds it by chance.
+    parts = -(-2 * labels.count() // max_labels)
+    share = lambda i: catalog.filter(F.pmod(F.xxhash64("label"), F.lit(parts)) == i).collect()
+    return functools.reduce(DataFrame.unionByName, [_scored(df, key, vector, labels, share(i), digits) for i in range(parts)])
+
+
+def _scored(df: DataFrame, key: str, vector: str, labels: DataFrame, catalog: list, digits: int) -> DataFrame:
     key_type, label_type = (d.schema[c].dataType for d, c in ((df, key), (labels, "label")))
     names = pa.array([r.label for r in catalog], to_arrow_type(label_type))
     dim = len(catalog[0].centroid) if catalog else 0

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from corpusloom.functions import stats
-from corpusloom.operators import places, upsert
+from corpusloom.operators import places, upsert, vectors
 from corpusloom.session import materialise_bucketed, release
 from corpusloom.sources import readers, sinks
 from corpusloom.streaming import feed
@@ -79,3 +79,10 @@ def test_release_drops_tables(spark):
     release(spark)
     session._written, session._tables = written, tables
     assert len(spark.catalog.listTables()) == before
+
+
+def test_more_labels_than_one_broadcast_takes(spark):
+    e = spark.createDataFrame([(i, [float(i % 7), 1.0, float(i % 3)], i % 40) for i in range(200)], "k int, v array<double>, label int")
+    c = vectors.centroids(e, "label", "v")
+    some = {tuple(r) for r in vectors.similarities(e, "k", "v", c, max_labels=10).collect()}
+    assert len(some) == 200 * 40 and some == {tuple(r) for r in vectors.similarities(e, "k", "v", c).collect()}
