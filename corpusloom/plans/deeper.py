@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,9 +68,33 @@ def stream_upsert_batches(spark: SparkSession, sf: str) -> DataFrame:
     return feed.latest(spark, f"{root}/table").select("id", "account", "text", "landings")
 
 
+@R.add("""select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') as start, event_type, count(*) as n from events group by 1, 2""")
+def stream_windows_landed(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly counts of a stream of landed files in several micro-batches; as files come in any order, windows stay open for the month."""
+    root = _folder(spark)
+    e = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    e.repartition(6).write.parquet(f"{root}/landed")
+    feed.stream_windows(spark, f"{root}/landed", "ts timestamp, event_type string", "ts", "event_type", f"{root}/table", f"{root}/offsets", late="40 days", files_per_batch=2)
+    return feed.latest(spark, f"{root}/table").select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
+
+
 # ---------------------------------------------------------------- files
 
 
+_EXPORTED = ("posts", "speeches", "sources", "theme_catalog", "post_themes", "documents")
+
+
+@R.add(" union all ".join(f"select '{t}' as name, count(*) as n_rows, (select count(*) from (describe {t})) as n_columns from {t}" for t in _EXPORTED))
+def k05_export_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Each table exported to a folder of its own, then read: rows and columns."""
+    path, parts = _folder(spark), []
+    for t in _EXPORTED:
+        table(spark, sf, t).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{t}")
+        back = spark.read.parquet(f"{path}/{t}")
+        parts.append(back.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("name"), "n_rows", F.lit(len(back.columns)).cast("long").alias("n_columns")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @R.add("""select c_custkey as k, c_name as name, c_mktsegment as segment from customer""")
 def s02_json_files(spark: SparkSession, sf: str) -> DataFrame:
     """Customers through JSON files whose documents are a list or wrap one, by region of the customer."""

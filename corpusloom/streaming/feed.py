@@ -55,3 +55,23 @@ def windowed_counts(events: DataFrame, ts: str, key: str, width: str = "1 hour",
     """Tumbling counts with a watermark; works on streams and on tables."""
     w = events.withWatermark(ts, late).groupBy(F.window(ts, width), key).agg(F.count("*").alias("n"))
     return w.select(F.col("window.start").alias("start"), key, "n")
+
+
+def stream_windows(spark: SparkSession, source: str, schema: str, ts: str, key: str, target: str, checkpoint: str, width: str = "1 hour", late: str = "10 minutes", files_per_batch: int | None = None) -> None:
+    """Tumbling counts of landed parquet files, kept in versions of ``target`` (start, ``key``, n).
+
+    Windows stay open for rows that are ``late``; each micro-batch emits the windows it changed, and these replace those
+    of the version before.  Rows later than that are dropped by the watermark.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        before = latest(spark, target, number)
+        merged = batch if before is None else upsert.upsert(before, batch, ["start", key], ["n"])
+        merged.write.mode("overwrite").parquet(f"{target}/v={number}")
+        path, fs = _at(spark, target)
+        for old in versions(spark, target)[:-2]:
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, f"v={old}"), True)
+
+    reader = spark.readStream.schema(schema)
+    stream = windowed_counts((reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(source), ts, key, width, late)
+    stream.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -86,3 +86,13 @@ def test_more_labels_than_one_broadcast_takes(spark):
     c = vectors.centroids(e, "label", "v")
     some = {tuple(r) for r in vectors.similarities(e, "k", "v", c, max_labels=10).collect()}
     assert len(some) == 200 * 40 and some == {tuple(r) for r in vectors.similarities(e, "k", "v", c).collect()}
+
+
+def test_stream_of_windows(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    for k in range(4):
+        rows = [(f"2024-01-01 0{h}:{10 + k}:00", "a" if h % 2 else "b") for h in range(5)]
+        spark.createDataFrame(rows, "t string, kind string").select(F.to_timestamp("t").alias("ts"), "kind").coalesce(1).write.mode("append").parquet(f"{root}/landed")
+    feed.stream_windows(spark, f"{root}/landed", "ts timestamp, kind string", "ts", "kind", f"{root}/table", f"{root}/offsets", late="1 day", files_per_batch=1)
+    got = feed.latest(spark, f"{root}/table").select(F.hour("start").alias("h"), "kind", "n").collect()
+    assert {tuple(r) for r in got} == {(h, "a" if h % 2 else "b", 4) for h in range(5)} and len(feed.versions(spark, f"{root}/table")) == 2
