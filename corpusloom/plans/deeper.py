@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions import stats, timeparts
 from corpusloom.operators import places, rules, upsert, vectors
 from corpusloom.plans.analytics import _CSQL
 from corpusloom.plans.registry import Registry
@@ -281,4 +282,27 @@ def e16_city_state(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("row_id", F.coalesce(F.concat_ws(", ", "p.city", "p.state"), F.lit("")).alias("place"), F.coalesce("p.state", F.lit("")).alias("state"))
 
 
+# ---------------------------------------------------------------- days and times
+
+
+@R.add("""
+with d as (select strftime(l, '%Y-%m-%d') as day, year(l) as year, count(*) as n from (select published_at at time zone 'America/New_York' as l from documents where published_at is not null) group by 1, 2),
+z as (select day, n, (n - avg(n) over (partition by year)) / case when stddev_pop(n) over (partition by year) = 0 then 1 else stddev_pop(n) over (partition by year) end as z from d)
+select day, n, round(z, 2) as z from z where z > 2""")
+def w02_local_storm_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Local days with far more documents than the others of their year."""
+    d = timeparts.with_local_time(table(spark, sf, "documents").filter("published_at is not null"), "published_at", "America/New_York")
+    n = d.groupBy("day", "year").agg(F.count("*").alias("n"))
+    return stats.zscore_within(n, "n", ["year"]).filter("z > 2").select("day", "n", F.round("z", 2).alias("z"))
+
+
+@R.add("""
+select row_id, coalesce(strftime(try_strptime(case when regexp_full_match(timestamp_utc, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}') then timestamp_utc end, '%Y-%m-%d %H:%M:%S'), '%b %d, %Y  %H:%M'), substr(timestamp_utc, 1, 16)) as shown from posts""")
+def e21_shown_or_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """The time as shown, or the start of what is written where it is no plain time."""
+    raw = F.col("timestamp_utc")
+    plain = F.when(raw.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"), raw)
+    return table(spark, sf, "posts").select("row_id", timeparts.shown(F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm:ss")), raw).alias("shown"))
+
+
 QUERIES, SQL = R.queries, R.sql
