@@ -148,10 +148,10 @@ def unified(df: DataFrame, field: str, schema: DataFrame, keep: list[str], limit
     return df.select(*keep, *([field] if field not in keep else [])).mapInArrow(cast, out)
 
 
-def unified_rows(df: DataFrame, fields: list[str], schema: DataFrame, key: str) -> DataFrame:
+def unified_rows(df: DataFrame, fields: list[str], schema: DataFrame, key: str, small: int = 100_000) -> DataFrame:
     """(key, field, path, type, number, text, n): one row for each member of each record, under the union schema's
     type: ``number`` for integers and decimal numbers, ``text`` for strings, booleans and big integers, arrays as JSON
-    with their number of elements ``n``."""
+    with their number of elements ``n``.  ``small``: members up to which the schema is broadcast."""
     import json
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +172,9 @@ def unified_rows(df: DataFrame, fields: list[str], schema: DataFrame, key: str)
 
     kept = f"`{key}` {df.schema[key].dataType.simpleString()}"
     rows = df.select(key, *fields).mapInArrow(scan, f"{kept}, field string, path string, number double, text string, n int")
-    typed = rows.join(schema.select("field", "path", "type"), ["field", "path"])
+    types = materialise(schema.select("field", "path", "type"))
+    # The schema goes to the rows while it is small, else both are shuffled by member.
+    typed = rows.join(F.broadcast(types) if types.count() <= small else types, ["field", "path"])
     numeric = F.col("type").isin(INT, DEC)
     return typed.select(key, "field", "path", "type", F.when(numeric, F.col("number")).alias("number"), F.when(~numeric, F.col("text")).alias("text"), "n")
 

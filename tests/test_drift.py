@@ -71,6 +71,7 @@ def test_integers_beyond_64_bits_are_kept(spark):
     got = {r.row_id: r for r in drift.unified(df, "j", schema, ["row_id"]).collect()}
     assert got[1].a == str(big) and got[2].a == "5" and got[1].c == ["1", str(-big)] and got[1].d == str(big) and got[2].d == "0.5" and got[2].b == 2
     long = {(r.row_id, r.path): (r.type, r.number, r.text, r.n) for r in drift.unified_rows(df, ["j"], schema, "row_id").collect()}
+    assert long == {(r.row_id, r.path): (r.type, r.number, r.text, r.n) for r in drift.unified_rows(df, ["j"], schema, "row_id", small=0).collect()}
     assert long[1, "a"] == ("big integer", None, str(big), None) and long[2, "b"] == ("integer", 2.0, None, None) and long[1, "c"][3] == 2
     # Among the changes both are integers.
     assert [(r.old_path, r.change) for r in drift.changes(df, ["j"]).collect()] == [("d", "retyped")]
