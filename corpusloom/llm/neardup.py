@@ -12,9 +12,9 @@ candidates found there are probed in the long ones.  Here, spread over executors
    at most T - 1.  A match occurs at least T - L times in the short lists.
 3. The short lists are merged: a sort-merge join on the token brings the records of each list together, and
    occurrences are counted by pair.  Each posting carries the record's size, the token's position in
-   its order and a 192-bit parity signature of its set; the join condition drops pairs that cannot reach T by
-   size, by position, or because the signatures differ in more bits than the sets may differ in
-   tokens.  Of two records, the one whose short lists end first in the common order has all its short tokens that
+   its order and a parity signature of its set, of 128, 256 or 512 bits by the size; the join condition drops pairs
+   that cannot reach T by size, by position, or because the signatures differ in more bits than the sets may differ
+   in tokens.  Of two records, the one whose short lists end first in the common order has all its short tokens that
    the other holds among the other's short ones, so a pair needs T - L occurrences, L being that record's, and
    only its long lists are left to probe.  Lists of more than ``hot`` records are split: each record of one
    side meets a share of the other in each task.
@@ -46,7 +46,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.session import materialise, materialise_bucketed
 
-_SIGNATURE = 3  # words of 64 bits
+#: Words of 64 bits of a signature and the most tokens of a set that gets so many. With more tokens, the signatures of
+#: unlike sets differ in fewer bits than like sets may differ in tokens.
+_WIDTHS = ((2, 98), (4, 196), (8, None))
+_SIGNATURE = _WIDTHS[-1][0]
 _LOW = (1 << 40) - 1
 
 
@@ -120,8 +123,36 @@ def _sketch(classes: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
+def _signatures(row: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The parities of the tokens that fall on each bit, as words by row. The first 2 words are the signature of 128
+    bits; the next 2 and the next 4 are the upper halves of the wider ones, whose lower halves are the narrower one
+    xor the upper half. What is wider than the set's own signature is 0."""
+    width = 64 * _SIGNATURE
+    bit = (flat.view(np.uint64) >> np.uint64(32)).astype(np.int64) % width
+    parity = np.bincount(row * width + bit, minlength=len(sizes) * width).reshape(len(sizes), width) & 1
+    out = np.packbits(parity.astype(np.uint8), axis=1).view(np.int64).reshape(len(sizes), _SIGNATURE)
+    for (narrow, most), (wide, _) in reversed(list(zip(_WIDTHS, _WIDTHS[1:], strict=False))):
+        out[:, :narrow] ^= out[:, narrow:wide]
+        out[sizes <= most, narrow:wide] = 0
+    return out
+
+
+def _differ(n: Column, a: str, b: str) -> Column:
+    """In how many bits the signatures of two sets differ, in the width of the smaller one, of ``n`` tokens."""
+    x = [F.col(f"{a}_s{i}").bitwiseXOR(F.col(f"{b}_s{i}")) for i in range(_SIGNATURE)]
+    words, out = x[: _WIDTHS[0][0]], None
+    for k, (_, most) in enumerate(_WIDTHS):
+        if k:
+            upper = x[len(words) : 2 * len(words)]
+            words = [w.bitwiseXOR(u) for w, u in zip(words, upper, strict=True)] + upper
+        bits = sum((F.bit_count(w) for w in words[1:]), F.bit_count(words[0]))
+        if most is None:
+            return bits if out is None else out.otherwise(bits)
+        out = (F if out is None else out).when(n <= most, bits)
+
+
 def _postings(classes: DataFrame, shared: Broadcast, side: str) -> DataFrame:
-    """(token, salt, cls, at, end, s0..s2) for the short lists of each class; ``at`` packs the size of the set
+    """(token, salt, cls, at, end, s0..s7) for the short lists of each class; ``at`` packs the size of the set
     and the token's position, ``end`` the number of long lists and where the short ones end in the common order.
     Tokens that stand in one class only meet nothing and are left out.  ``side``: ``cold`` for lists up to the
     bound, ``one`` and ``each`` for the two sides of longer ones, of which the second meets every share of the first."""
@@ -136,11 +167,7 @@ def _postings(classes: DataFrame, shared: Broadcast, side: str) -> DataFrame:
                 row, flat, level, pos, sizes, long = order.divide(batch.column("tokens"))
                 if not len(flat):
                     continue
-                # Parity of the tokens that fall on each bit.
-                width = 64 * _SIGNATURE
-                bit = (flat.view(np.uint64) >> np.uint64(32)).astype(np.int64) % width
-                parity = np.bincount(row * width + bit, minlength=len(sizes) * width).reshape(len(sizes), width) & 1
-                words = np.packbits(parity.astype(np.uint8), axis=1).view(np.int64).reshape(len(sizes), _SIGNATURE)
+                words = _signatures(row, flat, sizes)
                 last = np.cumsum(sizes) - long - 1
                 end = (long << 40) | (level[last].astype(np.int64) << 32) | ((flat[last] >> 32) + (1 << 31))
                 parts = order.chunks(level, order.hot)
@@ -156,7 +183,7 @@ def _postings(classes: DataFrame, shared: Broadcast, side: str) -> DataFrame:
                 cols = [pa.array(token), pa.array(salt.astype(np.int32)), pa.array(cls[row]), pa.array((sizes[row] << 32) | pos), pa.array(end[row]), *(pa.array(words[row, i]) for i in range(_SIGNATURE))]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
-    return classes.select("cls", "tokens").mapInArrow(emit, "token long, salt int, " + ", ".join(f"{c} long" for c in names[2:]))
+    return classes.select("cls", "tokens").mapInArrow(emit, "token long not null, salt int not null, " + ", ".join(f"{c} long not null" for c in names[2:]))
 
 
 def _merge(a: DataFrame, b: DataFrame, on: list[str], t: float) -> DataFrame:
@@ -170,11 +197,10 @@ def _merge(a: DataFrame, b: DataFrame, on: list[str], t: float) -> DataFrame:
     low = lambda x: F.col(f"{x}_end").bitwiseAND(F.lit(_LOW))
     na, nb = size("a"), size("b")
     need = F.ceil((na + nb) * (t / (1 + t)) - F.lit(1e-9))
-    differ = sum((F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(1, _SIGNATURE)), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
     reach = F.least(pos("a"), pos("b")) + F.least(na - pos("a"), nb - pos("b"))
     # The order of a pair is by (size, class), so that each pair comes from one side only.
     ordered = (na < nb) | ((na == nb) & (F.col("a_cls") < F.col("b_cls")))
-    can = ordered & (na >= nb * F.lit(t) - F.lit(1e-9)) & (differ <= na + nb - 2 * need) & (reach >= need)
+    can = ordered & (na >= nb * F.lit(t) - F.lit(1e-9)) & (reach >= need) & (_differ(na, "a", "b") <= na + nb - 2 * need)
     first = low("a") <= low("b")
     hits = need - F.when(first, F.shiftright("a_end", 40)).otherwise(F.shiftright("b_end", 40))
     both = a.join(b, on).filter(can).groupBy(F.col("a_cls").alias("cls_a"), F.col("b_cls").alias("cls_b"))

@@ -101,3 +101,32 @@ def test_class_of_more_than_a_thousand_keys(spark):
     df = spark.createDataFrame(rows, "scope string, id string, text string")
     got = neardup.pairs(neardup.find(df, F.col("scope"), F.col("id"), F.col("text"), 0.6, 2, 10), chunk=100)
     assert got.count() == 1023 * 1022 // 2 == got.distinct().count()
+
+
+def long_texts(n, seed):
+    """Texts of 70 to 600 words of a common vocabulary, and of each one like it."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        w = [f"w{rng.randrange(60)}" for _ in range(rng.randrange(70, 600))]
+        rows.append(("a", f"id{i}", " ".join(w)))
+        for _ in range(int(len(w) * rng.uniform(0.02, 0.2))):
+            w[rng.randrange(len(w))] = f"w{rng.randrange(60)}"
+        rows.append(("a", f"like{i}", " ".join(w[rng.randrange(1 + len(w) // 4) :])))
+    return rows
+
+
+def test_long_texts_around_the_limit(spark):
+    rows = long_texts(60, 7)
+    want = brute(rows, 0.6, 2, 10)
+    assert 10 < len(want) < 60 and run(spark, rows, 0.6, 2, 10)[0] == want
+
+
+def test_unlike_long_texts_are_not_counted(spark):
+    """Signatures drop unlike pairs of long texts in the merge, before they are shuffled."""
+    df = spark.createDataFrame(long_texts(60, 8), "scope string, id string, text string")
+    classes = neardup._sets(df, F.col("scope"), F.col("id"), F.col("text"), 2, 10).select("cls", "tokens")
+    order = neardup.Order(neardup._sketch(classes, 16), 16, 0.6, 0.01, 8192)
+    cold = neardup._postings(classes, spark.sparkContext.broadcast(order), "cold")
+    merged = neardup._merge(cold, cold, ["token"], 0.6)
+    assert 10 < merged.filter("c >= shiftright(rule, 1)").count() and merged.count() < 200
